@@ -8,12 +8,18 @@ uniform draw by walking outwards from the mode, for a whole Arrow batch at a tim
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# executors get these few functions with the plan and need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _SMALLEST = 1e-300
 _DONE = 1e-18
@@ -120,13 +126,13 @@ def binomial_quantiles(u: np.ndarray, trials: np.ndarray, chance: np.ndarray) ->
     return np.where(certain, np.where(q >= 1.0, n, 0.0), drawn).astype(np.int64)
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def _poisson(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for u, rate in batches:
         yield pd.Series(poisson_quantiles(u.to_numpy(float), rate.to_numpy(float)))
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def _binomial(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for u, trials, chance in batches:
         yield pd.Series(

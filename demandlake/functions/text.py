@@ -12,7 +12,7 @@ INPUT_TIME_PATTERN = (
     r"^\d{4}-\d{1,2}-\d{1,2}$|^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 )
 START_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$|^\d{4}-\d{2}-\d{2}$"
-NAME_PATTERN = r"(?U)^[a-zA-Z]\w{0,62}$"
+NAME_PATTERN = r"^[a-zA-Z][\p{L}\p{N}_]{0,62}$"
 
 
 def is_input_timestamp(text: Column) -> Column:
@@ -25,7 +25,7 @@ def start_date(text: Column) -> Column:
 
 
 def is_valid_name(text: Column) -> Column:
-    """A letter, then up to 62 word characters."""
+    """A Latin letter, then up to 62 letters, digits or underscores of any script."""
     return text.rlike(NAME_PATTERN)
 
 

@@ -4,11 +4,12 @@ A model frame has one row per series::
 
     name string, rate double, per string, dimensions map<string,string>,
     metadata array<struct<name:string, value:string, min:double, max:double>>,
-    hourly array<double>, daily array<double>, monthly array<double>,
-    dependencies array<struct<name:string, chance:double>>
+    hourly array<double>, daily array<double>, monthly array<double>
 
 ``rate`` occurrences are expected every ``per`` (a frequency). The seasonality arrays have
-24, 7 (Monday first) and 12 factors, or are null for none.
+24, 7 (Monday first) and 12 factors, or are null for none. A dependency frame has
+``name, dimensions, dependency, chance``: the series that is influenced, the name of the one
+that influences it, and how likely one occurrence there changes the count here.
 """
 
 from __future__ import annotations
@@ -31,8 +32,7 @@ SEASONALITY_LENGTHS = {"hourly": 24, "daily": 7, "monthly": 12}
 MODEL_SCHEMA = T.StructType.fromDDL(
     "name string, rate double, per string, dimensions map<string,string>, "
     "metadata array<struct<name:string,value:string,min:double,max:double>>, "
-    "hourly array<double>, daily array<double>, monthly array<double>, "
-    "dependencies array<struct<name:string,chance:double>>"
+    "hourly array<double>, daily array<double>, monthly array<double>"
 )
 
 
@@ -84,15 +84,11 @@ def duplicate_dimensions(entries: DataFrame) -> DataFrame:
     )
 
 
-def unmatched_dependencies(models: DataFrame) -> DataFrame:
+def unmatched_dependencies(models: DataFrame, dependencies: DataFrame) -> DataFrame:
     """Dependencies that do not name exactly one series with the same dimensions."""
-    wanted = models.select(
-        F.col("name").alias("parent"),
-        _dimension_key("dimensions").alias("dimension_key"),
-        F.explode("dependencies.name").alias("dependency"),
-    )
+    wanted = dependencies.select("name", "dependency", dimension_key("dimensions").alias("dimension_key"))
     present = models.groupBy(
-        F.col("name").alias("dependency"), _dimension_key("dimensions").alias("dimension_key")
+        F.col("name").alias("dependency"), dimension_key("dimensions").alias("dimension_key")
     ).agg(F.count(F.lit(1)).alias("matches"))
     return (
         wanted.join(present, ["dependency", "dimension_key"], "left")
@@ -139,7 +135,7 @@ def fill_dimensions(models: DataFrame, names: Sequence[str]) -> DataFrame:
     return models.withColumn("dimensions", F.create_map(*entries) if entries else F.col("dimensions"))
 
 
-def _dimension_key(column: str) -> Column:
+def dimension_key(column: str) -> Column:
     """Dimensions as text that is equal exactly when they are; maps cannot be joined on."""
     return F.to_json(F.array_sort(F.map_entries(F.coalesce(column, F.create_map().cast("map<string,string>")))))
 
@@ -200,7 +196,7 @@ def metadata_multiplier(seed: int) -> Column:
     99.7 % of draws fall between the two; equal bounds give exactly that number. Needs the
     columns ``name, dimensions, period, metadata``; bad bounds fail the job.
     """
-    key = _dimension_key("dimensions")
+    key = dimension_key("dimensions")
 
     def draw(product: Column, entry: Column) -> Column:
         low, high = F.coalesce(entry["min"], F.lit(1.0)), F.coalesce(entry["max"], F.lit(1.0))
@@ -226,11 +222,13 @@ def wrong_metadata_bounds(models: DataFrame) -> DataFrame:
 def draw_counts(series: DataFrame, seed: int) -> DataFrame:
     """Adds ``count``, a Poisson draw at ``rate_at`` times the metadata multiplier."""
     return series.withColumn("_lambda", F.col("rate_at") * metadata_multiplier(seed)).withColumn(
-        "count", poisson(F.col("_lambda"), seed, "name", _dimension_key("dimensions"), "period")
+        "count", poisson(F.col("_lambda"), seed, "name", dimension_key("dimensions"), "period")
     ).drop("_lambda")
 
 
-def apply_dependencies(counts: DataFrame, models: DataFrame, seed: int) -> DataFrame:
+def apply_dependencies(
+    counts: DataFrame, models: DataFrame, dependencies: DataFrame, seed: int
+) -> DataFrame:
     """Add the effect of other series' counts in the same period.
 
     ``counts`` has ``name, dimensions, period, count``. A positive chance adds a binomial
@@ -241,13 +239,13 @@ def apply_dependencies(counts: DataFrame, models: DataFrame, seed: int) -> DataF
     aggregation and are drawn once. A series many others depend on makes a large join
     partition, which adaptive execution splits.
     """
-    links = models.select("name", _dimension_key("dimensions").alias("_key"), "dependencies")
-    own = links.select("name", "_key", F.col("name").alias("_parent"), F.lit(None).cast("double").alias("_chance"))
-    others = links.select("_key", F.col("name").alias("_parent"), F.explode("dependencies").alias("_d")).select(
-        F.col("_d.name").alias("name"), "_key", "_parent", F.col("_d.chance").alias("_chance")
+    key = dimension_key("dimensions").alias("_key")
+    own = models.select("name", key, F.col("name").alias("_parent"), F.lit(None).cast("double").alias("_chance"))
+    others = dependencies.select(
+        F.col("dependency").alias("name"), key, F.col("name").alias("_parent"), F.col("chance").alias("_chance")
     )
     linked = (
-        counts.select("name", _dimension_key("dimensions").alias("_key"), "period", "count")
+        counts.select("name", key, "period", "count")
         .join(own.unionByName(others), ["name", "_key"])
     )
     chance, count = F.col("_chance"), F.col("count")

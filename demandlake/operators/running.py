@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -29,21 +30,23 @@ def rank_newest_first(
     """
     keys = list(keys)
     dated = df.withColumn("_day", F.to_date(moment))
-    later = Window.partitionBy(*keys).orderBy(F.col("_day").desc())
-    before = (
-        dated.groupBy(*keys, "_day")
+    blocks = [*keys, "_day"]
+    earlier_keys = [F.col(k).alias(f"_counted_{k}") for k in blocks]
+    later = (
+        Window.partitionBy(*[f"_counted_{k}" for k in keys])
+        .orderBy(F.col("_counted__day").desc())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    ahead = (
+        dated.groupBy(*earlier_keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(
-            *keys,
-            "_day",
-            F.coalesce(
-                F.sum("_rows").over(later.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("_offset"),
-        )
+        .withColumn("_ahead", F.coalesce(F.sum("_rows").over(later), F.lit(0)))
+        .drop("_rows")
+    )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_counted_{k}")) for k in blocks])
+    within = Window.partitionBy(*blocks).orderBy(F.col(moment).desc(), F.col(tie).desc())
+    return (
+        dated.join(ahead, same)
+        .withColumn(rank, F.row_number().over(within) + F.col("_ahead"))
+        .select(*df.columns, rank)
     )
-    within = Window.partitionBy(*keys, "_day").orderBy(F.col(moment).desc(), F.col(tie).desc())
-    same: Column = F.lit(True)
-    for key in [*keys, "_day"]:
-        same = same & dated[key].eqNullSafe(before[key])
-    joined = dated.join(before, same).select(*[dated[c] for c in dated.columns], "_offset")
-    return joined.withColumn(rank, F.row_number().over(within) + F.col("_offset")).drop("_day", "_offset")

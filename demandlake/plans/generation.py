@@ -22,6 +22,7 @@ def expected_series(models: DataFrame, start: datetime | str, length: int, outpu
 
 def generate(
     models: DataFrame,
+    dependencies: DataFrame | None,
     dimensions: Sequence[str],
     start: datetime | str,
     length: int,
@@ -31,23 +32,22 @@ def generate(
     """Counts of every series and period after dependencies, one column per dimension."""
     complete = g.fill_dimensions(models, dimensions)
     drawn = g.draw_counts(expected_series(complete, start, length, output), seed)
-    settled = g.apply_dependencies(
-        drawn.select("name", "dimensions", "period", "count"), complete, seed
-    )
-    dated = settled.withColumn(
-        "timestamp", add_periods(F.lit(start).cast("timestamp"), output, F.col("period"))
-    )
-    return g.series_rows(dated, dimensions)
+    if dependencies is not None:
+        drawn = g.apply_dependencies(
+            drawn, complete, g.fill_dimensions(dependencies, dimensions), seed
+        ).withColumn("timestamp", add_periods(F.lit(start).cast("timestamp"), output, F.col("period")))
+    return g.series_rows(drawn, dimensions)
 
 
-def check_models(models: DataFrame) -> None:
+def check_models(models: DataFrame, dependencies: DataFrame | None = None) -> None:
     """Raise when the models contradict themselves; looks at one offending row of each kind."""
     checks = {
         "seasonality of wrong length": g.wrong_seasonalities(models),
         "metadata bounds not positive or not ordered": g.wrong_metadata_bounds(models),
-        "dependency without exactly one match": g.unmatched_dependencies(models),
         "conflicting metadata": g.metadata_conflicts(g.metadata_entries(models)),
     }
+    if dependencies is not None:
+        checks["dependency without exactly one match"] = g.unmatched_dependencies(models, dependencies)
     for problem, offenders in checks.items():
         example = offenders.first()
         if example is not None:
@@ -56,6 +56,7 @@ def check_models(models: DataFrame) -> None:
 
 def write_generated(
     models: DataFrame,
+    dependencies: DataFrame | None,
     dimensions: Sequence[str],
     attributes: Sequence[str],
     start: datetime | str,
@@ -66,10 +67,12 @@ def write_generated(
     seed: int = 42,
 ) -> None:
     """Write the series and, when there is any, the metadata as CSV without headers."""
-    complete = g.fill_dimensions(models, dimensions)
-    check_models(complete)
+    check_models(
+        g.fill_dimensions(models, dimensions),
+        None if dependencies is None else g.fill_dimensions(dependencies, dimensions),
+    )
     write_csv(
-        generate(models, dimensions, start, length, output, seed).withColumn(
+        generate(models, dependencies, dimensions, start, length, output, seed).withColumn(
             "timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
         ),
         series_path,

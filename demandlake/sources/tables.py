@@ -28,9 +28,10 @@ def write_by_month(
 
 
 def write_months(df: DataFrame, path: str, *extra_partitions: str) -> str:
-    """Replace only the month partitions present in ``df``."""
+    """Replace only the month partitions present in ``df``, rebalanced as in ``write_by_month``."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", F.col(PARTITION))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION, *extra_partitions)
         .parquet(path)

@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from demandlake.functions.calendar import bucket_start, month_starting
@@ -53,13 +54,15 @@ def rebuild_batch(
         )
         write_months(cleaned.withColumn("batch", F.lit(batch_id)), raw_path, "batch")
 
-        spark = batch.sparkSession
-        stored = spark.read.schema(
-            cleaned.schema.add("batch", "bigint")
+        stored = batch.sparkSession.read.schema(
+            T.StructType([*cleaned.schema.fields, T.StructField("batch", T.LongType())])
         ).parquet(raw_path)
-        touched = stored.where(F.col("batch") == batch_id).select(PARTITION).distinct()
-        rebuilt = bucket(stored.join(touched, PARTITION, "left_semi"), frequency, dimensions)
-        write_months(rebuilt.withColumn(PARTITION, month_starting("timestamp")), bucket_path)
+        # at most one value per calendar month; as literals they prune the partitions read
+        touched = stored.where(F.col("batch") == batch_id).select(PARTITION).distinct().collect()
+        if touched:
+            months = stored.where(F.col(PARTITION).isin([row[0] for row in touched]))
+            rebuilt = bucket(months, frequency, dimensions)
+            write_months(rebuilt.withColumn(PARTITION, month_starting("timestamp")), bucket_path)
 
     return process
 
