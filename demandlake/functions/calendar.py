@@ -44,13 +44,6 @@ def periods_between(start: Column, end: Column, frequency: str) -> Column:
     return F.floor((F.unix_micros(end) - F.unix_micros(start)) / F.lit(seconds * 1_000_000)).cast("bigint")
 
 
-def period_sequence(start: Column, end: Column, frequency: str) -> Column:
-    """Array of bucket starts from ``start`` to ``end``, both included; empty when end < start."""
-    months, seconds = frequency_step(frequency)
-    step = F.make_ym_interval(F.lit(0), F.lit(months)) if months else F.expr(f"interval {seconds} seconds")
-    return F.when(start <= end, F.sequence(start, end, step)).otherwise(F.array().cast("array<timestamp>"))
-
-
 def month_starting(timestamp: Column | str) -> Column:
     """First day of the month as ``yyyy-MM-dd`` text: the partition key of the consolidated table."""
     return F.date_format(F.date_trunc("month", timestamp), "yyyy-MM-dd")

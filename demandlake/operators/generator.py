@@ -19,7 +19,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from demandlake.functions.calendar import add_periods
 from demandlake.functions.sampling import binomial, normal, poisson
@@ -29,11 +28,12 @@ from demandlake.spec import FREQUENCIES, frequency_step
 UNKNOWN = "unknown"
 SEASONALITY_LENGTHS = {"hourly": 24, "daily": 7, "monthly": 12}
 
-MODEL_SCHEMA = T.StructType.fromDDL(
+MODEL_SCHEMA = (
     "name string, rate double, per string, dimensions map<string,string>, "
     "metadata array<struct<name:string,value:string,min:double,max:double>>, "
     "hourly array<double>, daily array<double>, monthly array<double>"
 )
+DEPENDENCY_SCHEMA = "name string, dimensions map<string,string>, dependency string, chance double"
 
 
 def step_minutes(frequency: str, start: Column) -> Column:
