@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,7 +60,12 @@ def read_range(df: DataFrame, start: datetime | str, end: datetime | str) -> Dat
 
 def read_runs(spark: SparkSession, *paths: str) -> DataFrame:
     """Tables of several runs together; columns only some of them have are null in the others."""
-    return spark.read.option("mergeSchema", "true").parquet(*paths)
+    runs = [
+        # the partition key looks like a date, and would be read back as one
+        spark.read.parquet(path).withColumn(PARTITION, F.col(PARTITION).cast("string"))
+        for path in paths
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), runs)
 
 
 def register(df: DataFrame, name: str) -> str:
