@@ -9,7 +9,8 @@ A model frame has one row per series::
 ``rate`` occurrences are expected every ``per`` (a frequency). The seasonality arrays have
 24, 7 (Monday first) and 12 factors, or are null for none. A dependency frame has
 ``name, dimensions, dependency, chance``: the series that is influenced, the name of the one
-that influences it, and how likely one occurrence there changes the count here.
+that influences it, and how likely one occurrence there changes the count here. Where series
+are compared, ``dimensions`` is what ``fill_dimensions`` makes of the map.
 """
 
 from __future__ import annotations
@@ -22,8 +23,7 @@ from pyspark.sql import functions as F
 
 from demandlake.functions.calendar import add_periods
 from demandlake.functions.sampling import binomial, normal, poisson
-from demandlake.operators.history import explode_periods
-from demandlake.spec import FREQUENCIES, frequency_step
+from demandlake.spec import FREQUENCIES
 
 UNKNOWN = "unknown"
 SEASONALITY_LENGTHS = {"hourly": 24, "daily": 7, "monthly": 12}
@@ -86,12 +86,12 @@ def duplicate_dimensions(entries: DataFrame) -> DataFrame:
 
 def unmatched_dependencies(models: DataFrame, dependencies: DataFrame) -> DataFrame:
     """Dependencies that do not name exactly one series with the same dimensions."""
-    wanted = dependencies.select("name", "dependency", dimension_key("dimensions").alias("dimension_key"))
-    present = models.groupBy(
-        F.col("name").alias("dependency"), dimension_key("dimensions").alias("dimension_key")
-    ).agg(F.count(F.lit(1)).alias("matches"))
+    present = models.groupBy(F.col("name").alias("dependency"), "dimensions").agg(
+        F.count(F.lit(1)).alias("matches")
+    )
     return (
-        wanted.join(present, ["dependency", "dimension_key"], "left")
+        dependencies.select("name", "dependency", "dimensions")
+        .join(present, ["dependency", "dimensions"], "left")
         .withColumn("matches", F.coalesce("matches", F.lit(0)))
         .where(F.col("matches") != 1)
     )
@@ -125,32 +125,48 @@ def metadata_conflicts(entries: DataFrame) -> DataFrame:
 def fill_dimensions(models: DataFrame, names: Sequence[str]) -> DataFrame:
     """Give every series every dimension, ``unknown`` where it has none.
 
-    The map comes out sorted by name, so equal dimensions are equal columns.
+    The map becomes a struct with the names in order: unlike maps, structs can be compared,
+    joined and grouped. Without any names all series have the same constant.
     """
-    entries = [
-        x
-        for name in sorted(names)
-        for x in (F.lit(name), F.coalesce(F.col("dimensions")[name], F.lit(UNKNOWN)))
-    ]
-    return models.withColumn("dimensions", F.create_map(*entries) if entries else F.col("dimensions"))
-
-
-def dimension_key(column: str) -> Column:
-    """Dimensions as text that is equal exactly when they are; maps cannot be joined on."""
-    return F.to_json(F.array_sort(F.map_entries(F.coalesce(column, F.create_map().cast("map<string,string>")))))
+    values = [F.coalesce(F.col("dimensions")[n], F.lit(UNKNOWN)).alias(n) for n in sorted(names)]
+    return models.withColumn("dimensions", F.struct(*values) if values else F.lit(""))
 
 
 def series_calendar(models: DataFrame, start: datetime | str, length: int, output: str) -> DataFrame:
     """Every series in every period: adds ``period`` from 0 and its ``timestamp``."""
-    spread = models.withColumn("_start", F.lit(start).cast("timestamp")).withColumn("_count", F.lit(length))
-    return explode_periods(spread, "_start", "_count", output, step="period").drop("_start", "_count")
+    return (
+        _spread(_pieces(models, length), "name", "_from")
+        .select("*", F.explode_outer(F.sequence("_from", _last(length))).alias("period"))
+        .drop("_from")
+        .withColumn("timestamp", add_periods(F.lit(start).cast("timestamp"), output, F.col("period")))
+    )
+
+
+# Periods are exploded from pieces of this many, which are what is spread over the cluster.
+_PIECE = 4096
+
+
+def _pieces(models: DataFrame, length: int) -> DataFrame:
+    return models.withColumn("_from", F.explode_outer(F.sequence(F.lit(0), F.lit(length - 1), F.lit(_PIECE))))
+
+
+def _last(length: int) -> Column:
+    return F.least(F.col("_from") + _PIECE, F.lit(length)) - 1
+
+
+def _spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows that are few now and many later need more tasks than their size suggests.
+
+    Giving the number keeps adaptive execution from merging the partitions again.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
 
 
 def seasonal_factor(start: Column, minutes: Column) -> Column:
     """Mean of hourly x daily x monthly factors over ``minutes`` from ``start``.
 
     Factors are constant within a clock hour, so the mean is taken over the clock hours the
-    span touches, each weighted by the part of it inside the span. It stays in the row.
+    span touches, each weighted by the part of it inside the span.
     """
     begin = F.unix_micros(start)
     end = begin + (minutes * F.lit(60_000_000)).cast("bigint")
@@ -160,9 +176,9 @@ def seasonal_factor(start: Column, minutes: Column) -> Column:
     def weighted(total: Column, h: Column) -> Column:
         moment = F.timestamp_micros((h * F.lit(hour)).cast("bigint"))
         factor = (
-            _factor("hourly", F.hour(moment))
-            * _factor("daily", F.weekday(moment))
-            * _factor("monthly", F.month(moment) - 1)
+            F.get("hourly", F.hour(moment))
+            * F.get("daily", F.weekday(moment))
+            * F.get("monthly", F.month(moment) - 1)
         )
         inside = F.least((h + 1) * F.lit(hour), end) - F.greatest(h * F.lit(hour), begin)
         return total + factor * inside.cast("double")
@@ -170,23 +186,40 @@ def seasonal_factor(start: Column, minutes: Column) -> Column:
     return F.aggregate(hours, F.lit(0.0), weighted) / (end - begin).cast("double")
 
 
-def _factor(seasonality: str, index: Column) -> Column:
-    column = F.col(seasonality)
-    return F.when(column.isNull(), F.lit(1.0)).otherwise(F.get(column, index))
+def seasonal_series(models: DataFrame, start: datetime | str, length: int, output: str) -> DataFrame:
+    """Every series and period with ``rate_at``, its expected count after seasonality.
 
+    Takes models with ``base_rate``. Seasonality follows periods of the length the first
+    one has, as the base rate does, so for months and years it drifts from the calendar
+    dates by a day or so per period.
 
-def seasonal_rate(series: DataFrame, start: datetime | str) -> DataFrame:
-    """Adds ``rate_at``, the expected count of each period after seasonality.
-
-    Seasonality follows periods of the length the first one has, as the base rate does, so
-    for months and years it drifts from the calendar dates by a day or so per period.
+    Factors are worked out once per distinct seasonality and piece of the calendar, not
+    once per series: series often share them.
     """
     origin = F.lit(start).cast("timestamp")
-    begin = F.timestamp_micros(
-        (F.unix_micros(origin) + F.col("period") * F.col("bucket_minutes") * F.lit(60e6)).cast("bigint")
+    minutes = F.col("bucket_minutes")
+    shaped = models.withColumns(
+        {k: F.coalesce(k, F.array_repeat(F.lit(1.0), n)) for k, n in SEASONALITY_LENGTHS.items()}
     )
-    return series.withColumn(
-        "rate_at", F.col("base_rate") * seasonal_factor(begin, F.col("bucket_minutes"))
+    pieces = _pieces(shaped, length)
+    profile = [*SEASONALITY_LENGTHS, "bucket_minutes", "_from"]
+
+    def factor(period: Column) -> Column:
+        moved = F.unix_micros(origin) + (period * minutes * F.lit(60e6)).cast("bigint")
+        return seasonal_factor(F.timestamp_micros(moved), minutes)
+
+    factors = _spread(pieces.select(*profile).distinct(), *profile).select(
+        *profile, F.transform(F.sequence("_from", _last(length)), factor).alias("_factors")
+    )
+    kept = [c for c in models.columns if c not in SEASONALITY_LENGTHS]
+    return (
+        _spread(pieces.join(factors, profile), "name", "_from")
+        # never empty; plain explode would have Spark test the factors before they are shared
+        .select(*kept, "_from", F.posexplode_outer("_factors").alias("_position", "_factor"))
+        .withColumn("period", F.col("_from") + F.col("_position"))
+        .withColumn("timestamp", add_periods(origin, output, F.col("period")))
+        .withColumn("rate_at", F.col("base_rate") * F.col("_factor"))
+        .drop("_from", "_position", "_factor")
     )
 
 
@@ -196,14 +229,13 @@ def metadata_multiplier(seed: int) -> Column:
     99.7 % of draws fall between the two; equal bounds give exactly that number. Needs the
     columns ``name, dimensions, period, metadata``; bad bounds fail the job.
     """
-    key = dimension_key("dimensions")
 
     def draw(product: Column, entry: Column) -> Column:
         low, high = F.coalesce(entry["min"], F.lit(1.0)), F.coalesce(entry["max"], F.lit(1.0))
         middle = (low + high) / 2.0
-        sample = normal(middle, (high - middle) / 3.0, seed, "name", key, "period", entry["name"])
-        checked = F.when((low > high) | (low <= 0), F.raise_error(F.lit("metadata bounds must be positive and ordered"))).otherwise(sample)
-        return product * checked
+        sample = normal(middle, (high - middle) / 3.0, seed, "name", "dimensions", "period", entry["name"])
+        broken = F.raise_error(F.lit("metadata bounds must be positive and ordered"))
+        return product * F.when((low > high) | (low <= 0), broken).otherwise(sample)
 
     return F.when(F.coalesce(F.size("metadata"), F.lit(0)) > 0, F.aggregate("metadata", F.lit(1.0), draw)).otherwise(
         F.lit(1.0)
@@ -222,7 +254,7 @@ def wrong_metadata_bounds(models: DataFrame) -> DataFrame:
 def draw_counts(series: DataFrame, seed: int) -> DataFrame:
     """Adds ``count``, a Poisson draw at ``rate_at`` times the metadata multiplier."""
     return series.withColumn("_lambda", F.col("rate_at") * metadata_multiplier(seed)).withColumn(
-        "count", poisson(F.col("_lambda"), seed, "name", dimension_key("dimensions"), "period")
+        "count", poisson(F.col("_lambda"), seed, "name", "dimensions", "period")
     ).drop("_lambda")
 
 
@@ -239,34 +271,35 @@ def apply_dependencies(
     aggregation and are drawn once. A series many others depend on makes a large join
     partition, which adaptive execution splits.
     """
-    key = dimension_key("dimensions").alias("_key")
-    own = models.select("name", key, F.col("name").alias("_parent"), F.lit(None).cast("double").alias("_chance"))
+    own = models.select(
+        "name", "dimensions", F.col("name").alias("_parent"), F.lit(None).cast("double").alias("_chance")
+    )
     others = dependencies.select(
-        F.col("dependency").alias("name"), key, F.col("name").alias("_parent"), F.col("chance").alias("_chance")
+        F.col("dependency").alias("name"), "dimensions", F.col("name").alias("_parent"), F.col("chance").alias("_chance")
     )
-    linked = (
-        counts.select("name", key, "period", "count")
-        .join(own.unionByName(others), ["name", "_key"])
+    linked = counts.select("name", "dimensions", "period", "count").join(
+        own.unionByName(others), ["name", "dimensions"]
     )
     chance, count = F.col("_chance"), F.col("count")
     uncertain = (chance > 0) & (chance < 1)
     share = binomial(
-        F.when(uncertain, count).otherwise(F.lit(0)), F.coalesce(chance, F.lit(0.0)), seed, "_parent", "_key", "name", "period"
+        F.when(uncertain, count).otherwise(F.lit(0)),
+        F.coalesce(chance, F.lit(0.0)),
+        seed,
+        "_parent",
+        "dimensions",
+        "name",
+        "period",
     )
     delta = (
         F.when(chance.isNull() | (chance >= 1), count).when(chance < 0, -count).otherwise(F.col("_share"))
     )
-    totals = (
+    return (
         linked.withColumn("_share", share)
-        .groupBy(F.col("_parent").alias("name"), "_key", "period")
-        .agg(F.sum(delta).alias("_total"), F.bool_or(chance.isNull()).alias("_own"))
+        .groupBy(F.col("_parent").alias("name"), "dimensions", "period")
+        .agg(F.greatest(F.sum(delta), F.lit(0)).alias("count"), F.bool_or(chance.isNull()).alias("_own"))
         .where("_own")
-    )
-    return totals.select(
-        "name",
-        F.map_from_entries(F.from_json("_key", "array<struct<key:string,value:string>>")).alias("dimensions"),
-        "period",
-        F.greatest("_total", F.lit(0)).alias("count"),
+        .drop("_own")
     )
 
 

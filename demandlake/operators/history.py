@@ -108,8 +108,10 @@ def fill_gaps(
 
     segments = (
         df.select(*keys, "timestamp", "metric", *[c.alias(n) for n, c in columns.items()])
-        .select(*keys, F.explode(F.filter(F.array(*pieces), lambda s: s["count"] > 0)).alias("_s"))
+        # outer: the array is never empty, and Spark need not build it twice to find out
+        .select(*keys, F.explode_outer(F.array(*pieces)).alias("_s"))
         .select(*keys, "_s.*")
+        .where(F.col("count") > 0)
     )
     return explode_periods(segments, "start", "count", frequency).select(
         *keys, "timestamp", "metric", "segment"
@@ -121,17 +123,17 @@ def explode_periods(
 ) -> DataFrame:
     """``count`` rows per input row: ``step`` from 0, ``timestamp`` running from ``start``."""
     pieces = df.select(
-        "*", F.explode(F.sequence(F.lit(0), F.col(count) - 1, F.lit(_PIECE))).alias("_from")
+        "*", F.explode_outer(F.sequence(F.lit(0), F.col(count) - 1, F.lit(_PIECE))).alias("_from")
     )
     last = F.least(F.col("_from") + _PIECE, F.col(count)) - 1
-    steps = pieces.select("*", F.explode(F.sequence("_from", last)).alias(step)).drop("_from")
+    steps = pieces.select("*", F.explode_outer(F.sequence("_from", last)).alias(step)).drop("_from")
     return steps.withColumn("timestamp", add_periods(F.col(start), frequency, F.col(step)))
 
 
 def horizon(df: DataFrame, keys: Sequence[str], frequency: str, length: int) -> DataFrame:
     """The ``length`` periods after each series' last point."""
     ends = df.groupBy(*keys).agg(F.max("timestamp").alias("_end"))
-    return ends.select(*keys, "_end", F.explode(F.sequence(F.lit(1), F.lit(length))).alias("step")).select(
+    return ends.select(*keys, "_end", F.explode_outer(F.sequence(F.lit(1), F.lit(length))).alias("step")).select(
         *keys, "step", add_periods(F.col("_end"), frequency, F.col("step")).alias("timestamp")
     )
 
@@ -150,7 +152,7 @@ def backtest_split(
         raise ValueError("the offset must be at least the horizon")
     latest = df.select(F.max("timestamp")).scalar()
     back = (F.lit(1 - offset) - (F.col("window") - 1) * F.lit(length)).cast("int")
-    tagged = df.select("*", F.explode(F.sequence(F.lit(1), F.lit(windows))).alias("window")).withColumn(
+    tagged = df.select("*", F.explode_outer(F.sequence(F.lit(1), F.lit(windows))).alias("window")).withColumn(
         "_split", add_periods(latest, frequency, back)
     )
     return (

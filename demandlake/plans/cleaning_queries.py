@@ -78,19 +78,17 @@ def related(spark, sf):
         GROUP BY ALL""",
 )
 def domains(spark, sf):
-    line = t.table(spark, sf, "lineitem")
+    """Total demand per part, once in the field names of each domain; the totals are computed once."""
+    totals = (
+        t.table(spark, sf, "lineitem")
+        .groupBy(F.col("l_partkey").cast("string").alias("item"))
+        .agg(F.sum("l_quantity").alias("total"))
+    )
     frames = []
     for domain, (identifier, target) in DOMAINS.items():
         spec = DatasetSpec.of(domain, **{identifier: "string", target: "float"})
-        raw = line.select(
-            F.col("l_partkey").cast("string").alias(identifier), F.col("l_quantity").alias(target)
-        )
-        frames.append(
-            normalize_names(raw, spec)
-            .groupBy("identifier")
-            .agg(F.sum("metric").alias("metric"))
-            .select(F.lit(domain).alias("domain"), "identifier", "metric")
-        )
+        named = totals.select(F.col("item").alias(identifier), F.col("total").alias(target))
+        frames.append(normalize_names(named, spec).withColumn("domain", F.lit(domain)))
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
@@ -181,7 +179,7 @@ def validate_dates(spark, sf):
         FROM (SELECT lang, unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY lang""",
 )
 def validate_names(spark, sf):
-    words = t.table(spark, sf, "documents").select("lang", F.explode(F.split("text", " ")).alias("word"))
+    words = t.table(spark, sf, "documents").select("lang", F.explode_outer(F.split("text", " ")).alias("word"))
     return words.groupBy("lang").agg(
         F.count(F.lit(1)).alias("words"), F.count_if(text.is_valid_name(F.col("word"))).alias("valid_names")
     )

@@ -15,9 +15,7 @@ from demandlake.sources.csv import write_csv
 
 def expected_series(models: DataFrame, start: datetime | str, length: int, output: str) -> DataFrame:
     """Every series and period with its expected count."""
-    return g.seasonal_rate(
-        g.series_calendar(g.base_rate(models, start, output), start, length, output), start
-    )
+    return g.seasonal_series(g.base_rate(models, start, output), start, length, output)
 
 
 def generate(

@@ -98,16 +98,15 @@ def seasonal_rate(spark, sf):
 
 @query("metadata_rate", f"SELECT name, period, round(multiplier, 9) AS multiplier FROM ({_SERIES_SQL})")
 def metadata_rate(spark, sf):
-    return g.series_calendar(models(spark, sf), START, LENGTH, "D").select(
+    series = g.fill_dimensions(models(spark, sf), ["store", "segment"])
+    return g.series_calendar(series, START, LENGTH, "D").select(
         "name", "period", F.round(g.metadata_multiplier(SEED), 9).alias("multiplier")
     )
 
 
 @query("poisson_counts")
 def poisson_counts(spark, sf):
-    return g.draw_counts(expected_series(models(spark, sf), START, LENGTH, "D"), SEED).select(
-        "name", "period", "timestamp", "count"
-    )
+    return generate(models(spark, sf), None, [], START, LENGTH, "D", SEED)
 
 
 @query(
@@ -117,7 +116,8 @@ def poisson_counts(spark, sf):
 )
 def poisson_calibration(spark, sf):
     """Drawn totals per brand against their expectation, which bounds them by chance."""
-    drawn = g.draw_counts(expected_series(models(spark, sf), START, LENGTH, "D"), SEED)
+    series = g.fill_dimensions(models(spark, sf), ["store", "segment"])
+    drawn = g.draw_counts(expected_series(series, START, LENGTH, "D"), SEED)
     expected = F.sum(F.col("rate_at") * g.metadata_multiplier(SEED))
     return (
         drawn.groupBy(F.col("metadata")[0]["value"].alias("brand"))
@@ -174,7 +174,7 @@ def dependency_effect(spark, sf):
     """Monthly quantities per part and location, changed by those of the parts on the next order lines."""
 
     def dims(flag):
-        return F.create_map(F.lit("location"), flag)
+        return F.struct(flag.alias("location"))
 
     line = t.table(spark, sf, "lineitem")
     month = bucket_start(F.col("l_shipdate").cast("timestamp"), "M")
@@ -208,7 +208,7 @@ def dependency_effect(spark, sf):
 def _part_links(spark, sf) -> DataFrame:
     """Dependencies between parts of equal dimensions that follow each other on orders."""
     complete = g.fill_dimensions(models(spark, sf), ["store", "segment"]).select(
-        "name", g.dimension_key("dimensions").alias("_key"), "dimensions"
+        "name", "dimensions"
     )
 
     def part(column):
@@ -220,18 +220,15 @@ def _part_links(spark, sf) -> DataFrame:
         .groupBy("name", "dependency")
         .agg((F.max("l_discount") * 5).alias("chance"))
     )
-    other = complete.select(F.col("name").alias("dependency"), "_key")
-    return (
-        pairs.join(complete, "name").join(other, ["dependency", "_key"]).select("name", "dimensions", "dependency", "chance")
-    )
+    other = complete.withColumnRenamed("name", "dependency")
+    return pairs.join(complete, "name").join(other, ["dependency", "dimensions"])
 
 
 @query("synthetic_series")
 def synthetic_series(spark, sf):
     """The whole generator: seasonal Poisson counts per part and day, then dependencies."""
-    return generate(
-        models(spark, sf), _part_links(spark, sf), ["store", "segment"], START, LENGTH, "D", SEED
-    )
+    series = g.fill_dimensions(models(spark, sf), ["store", "segment"])
+    return generate(series, _part_links(spark, sf), ["store", "segment"], START, LENGTH, "D", SEED)
 
 
 @query(
@@ -246,7 +243,7 @@ def unmatched_dependencies(spark, sf):
     """Parts by category: a dependency on a part of another category finds no series."""
     series = t.table(spark, sf, "part").select(
         F.col("p_partkey").cast("string").alias("name"),
-        F.create_map(F.lit("category"), F.col("p_type")).alias("dimensions"),
+        F.struct(F.col("p_type").alias("category")).alias("dimensions"),
     )
     pairs = _next_lines(spark, sf).select(
         F.col("l_partkey").cast("string").alias("name"), F.col("dependency").cast("string").alias("dependency")

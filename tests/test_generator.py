@@ -27,10 +27,18 @@ def models(spark, *specs):
     return spark.createDataFrame(list(specs), g.MODEL_SCHEMA)
 
 
+def complete(spark, *specs):
+    return g.fill_dimensions(models(spark, *specs), [])
+
+
 def dependencies(spark, *links):
     return spark.createDataFrame(list(links), g.DEPENDENCY_SCHEMA)
 
 
+def plain_dependencies(spark, *links):
+    return g.fill_dimensions(dependencies(spark, *links), [])
+
+
 # -- sampling -------------------------------------------------------------------------------
 
 
@@ -150,7 +158,7 @@ def test_weekly_counts_are_near_their_rate(spark):
 
 
 def test_metadata_changes_the_rate_within_its_bounds(spark):
-    spec = models(spark, model(metadata=[("a", "b", 5.0, 10.0)]))
+    spec = complete(spark, model(metadata=[("a", "b", 5.0, 10.0)]))
     dated = g.series_calendar(spec, START, 2000, "D")
     draws = [r[0] for r in dated.select(g.metadata_multiplier(1)).collect()]
     inside = sum(5.0 < d < 10.0 for d in draws)
@@ -160,13 +168,13 @@ def test_metadata_changes_the_rate_within_its_bounds(spark):
 
 
 def test_equal_or_missing_bounds_are_exact(spark):
-    spec = models(spark, model(metadata=[("a", "x", 2.0, 2.0), ("b", "y", 3.0, 3.0), ("c", "z", None, None)]))
+    spec = complete(spark, model(metadata=[("a", "x", 2.0, 2.0), ("b", "y", 3.0, 3.0), ("c", "z", None, None)]))
     assert g.series_calendar(spec, START, 1, "D").select(g.metadata_multiplier(1)).first()[0] == 6.0
 
 
 @pytest.mark.parametrize("low,high", [(10.0, 1.0), (10.0, 9.0), (0.0, 1.0), (1.0, 0.0)])
 def test_bad_bounds_fail(spark, low, high):
-    spec = models(spark, model(metadata=[("a", "b", low, high)]))
+    spec = complete(spark, model(metadata=[("a", "b", low, high)]))
     with pytest.raises(Exception, match="bounds"):
         g.series_calendar(spec, START, 1, "D").select(g.metadata_multiplier(1)).collect()
     with pytest.raises(ValueError, match="bounds"):
@@ -176,63 +184,67 @@ def test_bad_bounds_fail(spark, low, high):
 # -- dependencies ---------------------------------------------------------------------------
 
 
+STORES = "struct<city:string,store:string>"
+
+
 def counted(spark, *series):
     return spark.createDataFrame(
         [(name, dims, p, c) for name, dims, counts in series for p, c in enumerate(counts)],
-        "name string, dimensions map<string,string>, period int, count bigint",
+        f"name string, dimensions {STORES}, period int, count bigint",
     )
 
 
 def settled(spark, counts, *links):
-    known = counts.select("name", F.to_json("dimensions").alias("d")).distinct().select(
-        "name", F.from_json("d", "map<string,string>").alias("dimensions")
+    known = counts.select("name", "dimensions").distinct()
+    linked = spark.createDataFrame(
+        list(links), f"name string, dimensions {STORES}, dependency string, chance double"
     )
-    found = g.apply_dependencies(counts, known, dependencies(spark, *links), 42).collect()
     result = {}
-    for r in sorted(found, key=lambda r: r.period):
-        result.setdefault((r.name, tuple(sorted(r.dimensions.items()))), []).append(r["count"])
+    for r in g.apply_dependencies(counts, known, linked, 42).orderBy("period").collect():
+        result.setdefault((r.name, tuple(r.dimensions)), []).append(r["count"])
     return result
 
 
+HERE, THERE = ("y", "x"), ("z", "x")
+
+
 def test_certain_dependencies(spark):
-    counts = counted(spark, ("a", {}, [1, 2, 3]), ("b", {}, [10, 0, 2]), ("c", {}, [5, 5, 5]))
-    found = settled(spark, counts, ("a", {}, "b", 1.0), ("c", {}, "b", -0.25))
-    assert found == {("a", ()): [11, 2, 5], ("b", ()): [10, 0, 2], ("c", ()): [0, 5, 3]}
+    counts = counted(spark, ("a", HERE, [1, 2, 3]), ("b", HERE, [10, 0, 2]), ("c", HERE, [5, 5, 5]))
+    found = settled(spark, counts, ("a", HERE, "b", 1.0), ("c", HERE, "b", -0.25))
+    assert found == {("a", HERE): [11, 2, 5], ("b", HERE): [10, 0, 2], ("c", HERE): [0, 5, 3]}
 
 
 def test_effects_use_counts_from_before(spark):
-    counts = counted(spark, ("a", {}, [1]), ("b", {}, [2]), ("c", {}, [4]))
-    found = settled(spark, counts, ("a", {}, "b", 1.0), ("b", {}, "c", 1.0), ("c", {}, "a", 1.0))
-    assert found == {("a", ()): [3], ("b", ()): [6], ("c", ()): [5]}
+    counts = counted(spark, ("a", HERE, [1]), ("b", HERE, [2]), ("c", HERE, [4]))
+    found = settled(spark, counts, ("a", HERE, "b", 1.0), ("b", HERE, "c", 1.0), ("c", HERE, "a", 1.0))
+    assert found == {("a", HERE): [3], ("b", HERE): [6], ("c", HERE): [5]}
 
 
 def test_only_equal_dimensions_influence(spark):
-    here, there = {"store": "x", "city": "y"}, {"city": "z", "store": "x"}
-    counts = counted(spark, ("a", here, [1]), ("b", here, [2]), ("b", there, [100]))
-    found = settled(spark, counts, ("a", {"city": "y", "store": "x"}, "b", 1.0))
-    assert found["a", (("city", "y"), ("store", "x"))] == [3]
+    counts = counted(spark, ("a", HERE, [1]), ("b", HERE, [2]), ("b", THERE, [100]))
+    assert settled(spark, counts, ("a", HERE, "b", 1.0))["a", HERE] == [3]
 
 
 def test_chance_changes_only_the_dependent_series(spark):
-    counts = counted(spark, ("a", {}, [15] * 500), ("b", {}, [10] * 500))
-    found = settled(spark, counts, ("a", {}, "b", 0.5))
-    assert found["b", ()] == [10] * 500
-    gained = sum(found["a", ()]) - 15 * 500
+    counts = counted(spark, ("a", HERE, [15] * 500), ("b", HERE, [10] * 500))
+    found = settled(spark, counts, ("a", HERE, "b", 0.5))
+    assert found["b", HERE] == [10] * 500
+    gained = sum(found["a", HERE]) - 15 * 500
     assert math.isclose(gained, 2500, rel_tol=0.05)
-    assert all(15 <= c <= 25 for c in found["a", ()])
+    assert all(15 <= c <= 25 for c in found["a", HERE])
 
 
 def test_many_dependents_on_one_series(spark):
     """A hot dependency: every series depends on the same one."""
-    counts = counted(spark, *[(f"s{i}", {}, [1, 1]) for i in range(300)])
-    found = settled(spark, counts, *[(f"s{i}", {}, "s0", 1.0) for i in range(1, 300)])
-    assert found["s0", ()] == [1, 1]
-    assert all(found[f"s{i}", ()] == [2, 2] for i in range(1, 300))
+    counts = counted(spark, *[(f"s{i}", HERE, [1, 1]) for i in range(300)])
+    found = settled(spark, counts, *[(f"s{i}", HERE, "s0", 1.0) for i in range(1, 300)])
+    assert found["s0", HERE] == [1, 1]
+    assert all(found[f"s{i}", HERE] == [2, 2] for i in range(1, 300))
 
 
 def test_missing_periods_of_the_other_series_have_no_effect(spark):
-    counts = counted(spark, ("a", {}, [1, 1, 1]), ("b", {}, [1]))
-    assert settled(spark, counts, ("a", {}, "b", 1.0))["a", ()] == [2, 1, 1]
+    counts = counted(spark, ("a", HERE, [1, 1, 1]), ("b", HERE, [1]))
+    assert settled(spark, counts, ("a", HERE, "b", 1.0))["a", HERE] == [2, 1, 1]
 
 
 # -- checks and output ------------------------------------------------------------------------
@@ -240,14 +252,14 @@ def test_missing_periods_of_the_other_series_have_no_effect(spark):
 
 def test_contradictions_are_named(spark):
     with pytest.raises(ValueError, match="seasonality"):
-        check_models(models(spark, model(hourly=[1.0])))
+        check_models(complete(spark, model(hourly=[1.0])))
     with pytest.raises(ValueError, match="conflicting"):
-        check_models(models(spark, model(metadata=[("a", "x", 1.0, 1.0)]), model(metadata=[("a", "y", 1.0, 1.0)])))
+        check_models(complete(spark, model(metadata=[("a", "x", 1.0, 1.0)]), model(metadata=[("a", "y", 1.0, 1.0)])))
     with pytest.raises(ValueError, match="match"):
-        check_models(models(spark, model("a")), dependencies(spark, ("a", {}, "b", 0.5)))
+        check_models(complete(spark, model("a")), plain_dependencies(spark, ("a", {}, "b", 0.5)))
     with pytest.raises(ValueError, match="match"):
-        check_models(models(spark, model("a"), model("b"), model("b")), dependencies(spark, ("a", {}, "b", 0.5)))
-    check_models(models(spark, model("a"), model("b")), dependencies(spark, ("a", {}, "b", 0.5)))
+        check_models(complete(spark, model("a"), model("b"), model("b")), plain_dependencies(spark, ("a", {}, "b", 0.5)))
+    check_models(complete(spark, model("a"), model("b")), plain_dependencies(spark, ("a", {}, "b", 0.5)))
 
 
 def test_metadata_problems(spark):
