@@ -47,10 +47,12 @@ def to_wide(df: DataFrame) -> DataFrame:
 def cut_history(history: DataFrame, backtest: DataFrame) -> DataFrame:
     """History before the earliest backtest timestamp; all of it when there is no backtest.
 
-    The cutoff is a scalar subquery: it is computed inside the same job.
+    The cutoff is a scalar subquery, computed inside the same job. As a plain comparison
+    with the bucket it is also applied below the bucketing, before the shuffle.
     """
-    cutoff = backtest.select(F.min("timestamp")).scalar()
-    return history.where((F.col("timestamp") < cutoff) | cutoff.isNull())
+    latest_possible = F.timestamp_micros(F.lit(2**63 - 1))
+    cutoff = backtest.select(F.coalesce(F.min("timestamp"), latest_possible)).scalar()
+    return history.where(F.col("timestamp") < cutoff)
 
 
 def join_metadata(df: DataFrame, metadata: DataFrame) -> DataFrame:

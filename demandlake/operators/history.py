@@ -132,10 +132,13 @@ def explode_periods(
 
 def horizon(df: DataFrame, keys: Sequence[str], frequency: str, length: int) -> DataFrame:
     """The ``length`` periods after each series' last point."""
-    ends = df.groupBy(*keys).agg(F.max("timestamp").alias("_end"))
-    return ends.select(*keys, "_end", F.explode_outer(F.sequence(F.lit(1), F.lit(length))).alias("step")).select(
-        *keys, "step", add_periods(F.col("_end"), frequency, F.col("step")).alias("timestamp")
-    )
+    return after(df.groupBy(*keys).agg(F.max("timestamp").alias("timestamp")), frequency, length)
+
+
+def after(df: DataFrame, frequency: str, length: int) -> DataFrame:
+    """Each row once for every one of the ``length`` periods after its timestamp."""
+    steps = df.select("*", F.explode_outer(F.sequence(F.lit(1), F.lit(length))).alias("step"))
+    return steps.withColumn("timestamp", add_periods(F.col("timestamp"), frequency, F.col("step")))
 
 
 def backtest_split(

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandlake.operators.history import horizon
+from demandlake.operators.history import after
 
 
 def quantile_name(level: str) -> str:
@@ -29,15 +29,7 @@ def quantile_aggregates(
     the map side, so a group costs its distinct values, of which there are at most as many
     as periods.
     """
-    percents = {name: float(level) for level in levels if (name := quantile_name(level)) != "mean"}
-    found = F.percentile(value, F.array(*[F.lit(q) for q in percents.values()])).alias("_q")
-    average = [F.avg(value).alias("mean")] if "mean" in levels else []
-    grouped = df.groupBy(*keys).agg(*([found] if percents else []), *average)
-    return grouped.select(
-        *keys,
-        *[F.col("_q")[i].alias(name) for i, name in enumerate(percents)],
-        *(["mean"] if average else []),
-    )
+    return _quantiles(df, keys, levels, value, [])
 
 
 def baseline_forecast(
@@ -45,6 +37,22 @@ def baseline_forecast(
 ) -> DataFrame:
     """The empirical quantiles of each series, repeated over its horizon.
 
-    Both sides aggregate by the same keys, so the join needs no further shuffle.
+    The end of a series and its quantiles come from one aggregation.
     """
-    return horizon(df, keys, frequency, length).join(quantile_aggregates(df, keys, levels), list(keys))
+    summary = _quantiles(df, keys, levels, "metric", [F.max("timestamp").alias("timestamp")])
+    return after(summary, frequency, length)
+
+
+def _quantiles(
+    df: DataFrame, keys: Sequence[str], levels: Sequence[str], value: str, also: list[Column]
+) -> DataFrame:
+    percents = {name: float(level) for level in levels if (name := quantile_name(level)) != "mean"}
+    found = F.percentile(value, F.array(*[F.lit(q) for q in percents.values()])).alias("_q")
+    average = [F.avg(value).alias("mean")] if "mean" in levels else []
+    grouped = df.groupBy(*keys).agg(*also, *([found] if percents else []), *average)
+    kept = [c for c in grouped.columns if c not in ("_q", "mean")]
+    return grouped.select(
+        *kept,
+        *[F.col("_q")[i].alias(name) for i, name in enumerate(percents)],
+        *(["mean"] if average else []),
+    )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,25 +27,22 @@ def rank_newest_first(
     A key may hold any share of the rows, so rows are ranked inside (key, day) and moved
     by the number of rows of the same key on later days, which is counted beforehand.
     """
-    keys = list(keys)
-    dated = df.withColumn("_day", F.to_date(moment))
-    blocks = [*keys, "_day"]
-    earlier_keys = [F.col(k).alias(f"_counted_{k}") for k in blocks]
+    # a struct is never null itself, so nulls inside it join, and its one partitioning
+    # serves the join and the window
+    blocks = df.withColumn("_block", F.struct(*keys, F.to_date(moment).alias("_day")))
     later = (
-        Window.partitionBy(*[f"_counted_{k}" for k in keys])
-        .orderBy(F.col("_counted__day").desc())
+        Window.partitionBy(*[f"_block.{k}" for k in keys])
+        .orderBy(F.col("_block._day").desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ahead = (
-        dated.groupBy(*earlier_keys)
+        blocks.groupBy("_block")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_ahead", F.coalesce(F.sum("_rows").over(later), F.lit(0)))
-        .drop("_rows")
+        .select("_block", F.coalesce(F.sum("_rows").over(later), F.lit(0)).alias("_ahead"))
     )
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_counted_{k}")) for k in blocks])
-    within = Window.partitionBy(*blocks).orderBy(F.col(moment).desc(), F.col(tie).desc())
+    within = Window.partitionBy("_block").orderBy(F.col(moment).desc(), F.col(tie).desc())
     return (
-        dated.join(ahead, same)
+        blocks.join(ahead, "_block")
         .withColumn(rank, F.row_number().over(within) + F.col("_ahead"))
         .select(*df.columns, rank)
     )

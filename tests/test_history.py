@@ -102,7 +102,7 @@ def test_unknown_fill_is_refused(spark):
 
 def test_horizon(spark):
     df = spark.createDataFrame([("a", datetime(2000, 1, 1), 1.0), ("a", datetime(2000, 11, 1), 1.0)], SCHEMA)
-    assert rows(horizon(df, ["identifier"], "M", 3), "step") == [
+    assert rows(horizon(df, ["identifier"], "M", 3).select("identifier", "step", "timestamp"), "step") == [
         ("a", 1, datetime(2000, 12, 1)),
         ("a", 2, datetime(2001, 1, 1)),
         ("a", 3, datetime(2001, 2, 1)),
