@@ -1,6 +1,6 @@
 """Demand-history and forecast data work on Spark: clean, bucket, consolidate, fill, track, generate."""
 
-from demandlake.session import build_session, work_folder
+from demandlake.session import build_session, sized_for, work_folder
 from demandlake.spec import Attribute, DatasetSpec
 
-__all__ = ["Attribute", "DatasetSpec", "build_session", "work_folder"]
+__all__ = ["Attribute", "DatasetSpec", "build_session", "sized_for", "work_folder"]

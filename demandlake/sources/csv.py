@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv as text_csv
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,19 @@ def first_nonempty(spark: SparkSession, path: str) -> str:
     return found
 
 
+def first_existing(spark: SparkSession, *paths: str) -> str:
+    """The first of several locations that is there: a copy at hand, then the original."""
+    for path in paths:
+        try:
+            spark.read.format("binaryFile").load(path)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            return path
+    raise ValueError(f"none of these exists: {', '.join(paths)}")
+
+
 def has_header(spark: SparkSession, path: str, fields: Sequence[str]) -> bool:
     """Whether CSV data starts with a header line, judged on its first lines only."""
     if not path.endswith(".csv"):

@@ -1,12 +1,14 @@
 """Header detection, listings, the month table, the stream, the shared folder."""
 
+import hashlib
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from demandlake.session import work_folder
+from demandlake.session import sized_for, work_folder
 from demandlake.sources import csv, tables
+from demandlake.sources.signatures import file_signatures
 from demandlake.spec import DatasetSpec
 from demandlake.streaming.arrivals import rebuild_batch, start_ingest
 
@@ -46,6 +48,39 @@ def test_no_export_data_is_an_error(spark, tmp_path):
         csv.first_nonempty(spark, str(tmp_path))
 
 
+def test_first_existing_location(spark, tmp_path):
+    (tmp_path / "there.csv").write_text("a")
+    there = str(tmp_path / "there.csv")
+    assert csv.first_existing(spark, str(tmp_path / "cached.csv"), there) == there
+    with pytest.raises(ValueError, match="cached"):
+        csv.first_existing(spark, str(tmp_path / "cached.csv"))
+
+
+def test_file_signatures(spark, tmp_path):
+    content = "".join(f"item_{i},2000-01-01,{i}\n" for i in range(200))
+    (tmp_path / "a.csv").write_text(content)
+    (tmp_path / "b.related.csv").write_text(content[:-3])
+
+    def signed(limit):
+        return {r.dataset: r.signature for r in file_signatures(spark, str(tmp_path), limit).collect()}
+
+    exact = {n: hashlib.md5((tmp_path / f).read_bytes()).hexdigest() for n, f in (("a", "a.csv"), ("b_related", "b.related.csv"))}
+    assert signed(10_000) == exact
+    split = signed(10)
+    assert set(split) == set(exact)
+    assert not set(split.values()) & set(exact.values())
+    (tmp_path / "a.csv").write_text(content.replace("item_7,", "item_8,"))
+    assert signed(10)["a"] != split["a"] and signed(10)["b_related"] == split["b_related"]
+    between = signed(len(content) - 1)
+    assert between["a"] == signed(10)["a"] and between["b_related"] == exact["b_related"]
+
+
+def test_sizes_follow_the_input():
+    assert sized_for(1 << 20)["spark.sql.shuffle.partitions"] == "200"
+    assert sized_for(10 << 40)["spark.sql.shuffle.partitions"] == "40960"
+    assert sized_for(100 << 40)["spark.sql.shuffle.partitions"] == "100000"
+
+
 def wide(spark):
     return spark.createDataFrame(
         [
