@@ -157,18 +157,18 @@ def content_signature(lines: DataFrame, keys: Sequence[str], line: str = "value"
 
     Each line is hashed where it lies and the hashes are added up, so a dataset of any
     size is signed by all tasks that read it, none of which sees it whole. The order of
-    lines does not matter, as it does not to any later step.
+    lines does not matter, as it does not to any later step. A hash is added in four
+    parts of 16 bits, whose sums stay in range for 2^47 lines.
     """
-    hashed = F.conv(F.substring(F.md5(F.col(line)), 1, 15), 16, 10).cast("decimal(38,0)")
-    return (
-        lines.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("lines"), F.sum(hashed).alias("_sum"))
-        .select(
-            *keys,
-            F.md5(F.concat_ws(":", F.col("lines").cast("string"), F.col("_sum").cast("string"))).alias(
-                "signature"
-            ),
-        )
+    hashed = lines.select(*keys, F.xxhash64(line).alias("_hash"))
+    parts = [
+        F.sum(F.shiftrightunsigned("_hash", 16 * i).bitwiseAND(F.lit(0xFFFF))).alias(f"_part{i}")
+        for i in range(4)
+    ]
+    summed = hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_lines"), *parts)
+    numbers = ["_lines", *[f"_part{i}" for i in range(4)]]
+    return summed.select(
+        *keys, F.md5(F.concat_ws(":", *[F.col(n).cast("string") for n in numbers])).alias("signature")
     )
 
 

@@ -15,10 +15,10 @@ START = "2000-02-15"
 LENGTH = 28
 SEED = 42
 
-# The seasonality factors of a shop closed at night and busy on weekends and in December.
-HOURLY = [0, 0, 0, 0, 0, 0, 0, 0, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 0, 0]
-DAILY = [1, 1, 1, 1, 1, 2, 1.5]
-MONTHLY = [0.5, 0.5, 1, 1, 1, 1, 1, 1, 1, 1, 1.5, 2.5]
+# a shop that is closed at night, with a noon and an evening peak, busy on Saturdays and in December
+HOURLY = [0] * 7 + [0.5, 1, 1, 1.5, 2, 2, 1.5, 1, 1, 1, 1.5, 2, 1.5, 1, 0.5] + [0] * 2
+DAILY = [1, 1, 1, 1.25, 1.5, 2, 0.75]
+MONTHLY = [0.75, 0.75, 1, 1, 1, 1.25, 1.25, 1, 1, 1, 1.5, 2.5]
 
 _PER = {"ECONOMY": "D", "SMALL": "W", "STANDARD": "M", "LARGE": "Y", "PROMO": "H"}
 _MINUTES_FROM_START = {"D": 1440, "W": 10080, "M": 29 * 1440, "Y": 366 * 1440, "H": 60}
@@ -89,10 +89,10 @@ def series_calendar(spark, sf):
     return g.series_calendar(models(spark, sf).select("name"), START, LENGTH, "D")
 
 
-@query("seasonal_rate", f'SELECT name, period, "timestamp", round(rate_at, 6) AS rate_at FROM ({_SERIES_SQL})')
+@query("seasonal_rate", f'SELECT name, period, "timestamp", round(rate_at, 9) AS rate_at FROM ({_SERIES_SQL})')
 def seasonal_rate(spark, sf):
     return expected_series(models(spark, sf), START, LENGTH, "D").select(
-        "name", "period", "timestamp", F.round("rate_at", 6).alias("rate_at")
+        "name", "period", "timestamp", F.round("rate_at", 9).alias("rate_at")
     )
 
 

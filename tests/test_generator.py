@@ -14,9 +14,9 @@ from demandlake.plans.generation import check_models, expected_series, generate,
 from conftest import rows
 
 START = "2000-01-01"
-NIGHT = [0.0] * 8 + [1.0] * 14 + [0.0] * 2
-WEEKEND = [1.0, 1.0, 1.0, 1.0, 1.0, 2.0, 1.5]
-HOLIDAY = [0.5, 0.5, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.5, 2.5]
+NIGHT = [0.0] * 6 + [0.5] * 3 + [1.0] * 12 + [0.25] * 3
+WEEKEND = [1.0, 1.0, 0.75, 1.0, 1.25, 2.0, 0.5]
+HOLIDAY = [0.75, 1.0, 1.0, 1.0, 1.25, 1.5, 1.5, 1.0, 1.0, 1.0, 1.5, 3.0]
 
 
 def model(name="m", rate=1440.0, per="D", dimensions=None, metadata=None, hourly=None, daily=None, monthly=None):
@@ -275,13 +275,13 @@ def test_metadata_problems(spark):
 
 def test_metadata_rows_are_sorted_by_attribute(spark):
     entries = spark.createDataFrame(
-        [("item1", "city", "ottawa"), ("item1", "brand", "chippies"), ("item1", "variety", "bbq"),
-         ("item2", "city", "kanata"), ("item2", "brand", "chippies"), ("item2", "variety", "all dressed")],
+        [("soap", "town", "lyon"), ("soap", "color", "green"), ("soap", "scent", "pine"),
+         ("oil", "scent", "olive"), ("oil", "town", "bari"), ("oil", "color", "green")],
         "item string, attribute string, value string",
     )
-    assert rows(g.metadata_rows(entries, ["variety", "city", "brand"])) == [
-        ("item1", "chippies", "ottawa", "bbq"),
-        ("item2", "chippies", "kanata", "all dressed"),
+    assert rows(g.metadata_rows(entries, ["town", "scent", "color"])) == [
+        ("oil", "green", "olive", "bari"),
+        ("soap", "green", "pine", "lyon"),
     ]
 
 
@@ -298,17 +298,17 @@ def test_duplicate_dimensions(spark):
 def test_written_output(spark, tmp_path):
     spec = models(
         spark,
-        model("penne", 60.0, dimensions={"store": "ottawa"}, metadata=[("brand", "x", None, None)]),
-        model("sauce", 40.0, dimensions={"city": "kanata", "store": "ottawa"}, metadata=[("brand", "y", None, None)]),
+        model("soap", 60.0, dimensions={"store": "east"}, metadata=[("brand", "x", None, None)]),
+        model("oil", 40.0, dimensions={"city": "lyon", "store": "east"}, metadata=[("brand", "y", None, None)]),
     )
     write_generated(
         spec, None, ["store", "city"], ["brand"], START, 10, "D", str(tmp_path / "ts"), str(tmp_path / "md")
     )
     series = spark.read.csv(str(tmp_path / "ts"))
     assert series.count() == 20
-    first = series.where("_c0 = 'penne'").orderBy("_c1").first()
-    assert first["_c1"] == "2000-01-01 00:00:00" and first["_c3"] == "unknown" and first["_c4"] == "ottawa"
-    assert rows(spark.read.csv(str(tmp_path / "md"))) == [("penne", "x"), ("sauce", "y")]
+    first = series.where("_c0 = 'soap'").orderBy("_c1").first()
+    assert first["_c1"] == "2000-01-01 00:00:00" and first["_c3"] == "unknown" and first["_c4"] == "east"
+    assert rows(spark.read.csv(str(tmp_path / "md"))) == [("oil", "y"), ("soap", "x")]
 
 
 def test_same_seed_same_series(spark):
