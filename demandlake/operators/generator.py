@@ -258,18 +258,24 @@ def draw_counts(series: DataFrame, seed: int) -> DataFrame:
     ).drop("_lambda")
 
 
+# Links are joined with counts per span of this many periods.
+_SPAN = 64
+
+
 def apply_dependencies(
-    counts: DataFrame, models: DataFrame, dependencies: DataFrame, seed: int
+    counts: DataFrame, models: DataFrame, dependencies: DataFrame, length: Column | int, seed: int
 ) -> DataFrame:
     """Add the effect of other series' counts in the same period.
 
-    ``counts`` has ``name, dimensions, period, count``. A positive chance adds a binomial
-    share of the other series' count, a negative one takes off all of it; the result is
-    never below zero. Effects use counts from before any effect.
+    ``counts`` has ``name, dimensions, period, count`` with periods from 0 to below
+    ``length``. A positive chance adds a binomial share of the other series' count, a
+    negative one takes off all of it; the result is never below zero. Effects use counts
+    from before any effect.
 
     Every series is also linked to itself, so the counts pass through one join and one
-    aggregation and are drawn once. A series many others depend on makes a large join
-    partition, which adaptive execution splits.
+    aggregation and are drawn once. A series that a large part of the others depend on
+    would meet all its links in one task; links are therefore repeated per span of
+    periods, a small part of the rows the join makes anyway, and joined within it.
     """
     own = models.select(
         "name", "dimensions", F.col("name").alias("_parent"), F.lit(None).cast("double").alias("_chance")
@@ -277,9 +283,15 @@ def apply_dependencies(
     others = dependencies.select(
         F.col("dependency").alias("name"), "dimensions", F.col("name").alias("_parent"), F.col("chance").alias("_chance")
     )
-    linked = counts.select("name", "dimensions", "period", "count").join(
-        own.unionByName(others), ["name", "dimensions"]
+    periods = F.lit(length) if isinstance(length, int) else length
+    last_span = F.floor((periods - 1) / _SPAN).cast("int")
+    links = own.unionByName(others).withColumn("_last_span", last_span)
+    links = links.select(
+        "name", "dimensions", "_parent", "_chance", F.explode_outer(F.sequence(F.lit(0), F.col("_last_span"))).alias("_span")
     )
+    linked = counts.select(
+        "name", "dimensions", F.floor(F.col("period") / _SPAN).cast("int").alias("_span"), "period", "count"
+    ).join(_spread(links, "name", "dimensions", "_span"), ["name", "dimensions", "_span"])
     chance, count = F.col("_chance"), F.col("count")
     uncertain = (chance > 0) & (chance < 1)
     share = binomial(

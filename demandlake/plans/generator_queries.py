@@ -177,12 +177,16 @@ def dependency_effect(spark, sf):
         return F.struct(flag.alias("location"))
 
     line = t.table(spark, sf, "lineitem")
-    month = bucket_start(F.col("l_shipdate").cast("timestamp"), "M")
+
+    def month_number(day):
+        month = bucket_start(day.cast("timestamp"), "M")
+        return periods_between(F.lit("1995-01-01").cast("timestamp"), month, "M").cast("int")
+
     counts = (
         line.groupBy(
             F.col("l_partkey").cast("string").alias("name"),
             F.col("l_returnflag").alias("location"),
-            periods_between(F.lit("1995-01-01").cast("timestamp"), month, "M").cast("int").alias("period"),
+            month_number(F.col("l_shipdate")).alias("period"),
         )
         .agg(F.sum("l_quantity").cast("bigint").alias("count"))
         .withColumn("dimensions", dims(F.col("location")))
@@ -200,7 +204,10 @@ def dependency_effect(spark, sf):
         .agg(F.min(F.when(F.col("l_discount") >= 0.05, 1.0).otherwise(-1.0)).alias("chance"))
         .withColumn("dimensions", dims(F.col("l_returnflag")))
     )
-    return g.apply_dependencies(counts, series, links, SEED).select(
+    last = line.select(F.max("l_shipdate").alias("last")).select(
+        F.months_between(F.date_trunc("month", "last"), F.lit("1995-01-01").cast("timestamp")).cast("int") + 1
+    )
+    return g.apply_dependencies(counts, series, links, last.scalar(), SEED).select(
         "name", F.col("dimensions")["location"].alias("location"), "period", "count"
     )
 

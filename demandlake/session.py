@@ -20,6 +20,8 @@ def build_session(app_name: str = "demandlake", **conf: str) -> SparkSession:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # the consolidated table has 124 columns; the default stops generating code at 100
+        "spark.sql.codegen.maxFields": "200",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)

@@ -194,13 +194,13 @@ def counted(spark, *series):
     )
 
 
-def settled(spark, counts, *links):
+def settled(spark, counts, *links, length=600):
     known = counts.select("name", "dimensions").distinct()
     linked = spark.createDataFrame(
         list(links), f"name string, dimensions {STORES}, dependency string, chance double"
     )
     result = {}
-    for r in g.apply_dependencies(counts, known, linked, 42).orderBy("period").collect():
+    for r in g.apply_dependencies(counts, known, linked, length, 42).orderBy("period").collect():
         result.setdefault((r.name, tuple(r.dimensions)), []).append(r["count"])
     return result
 
@@ -242,6 +242,14 @@ def test_many_dependents_on_one_series(spark):
     assert all(found[f"s{i}", HERE] == [2, 2] for i in range(1, 300))
 
 
+@pytest.mark.parametrize("length", [1, 63, 64, 65, 130])
+def test_every_period_meets_its_own(spark, length):
+    counts = counted(spark, ("a", HERE, [1] * length), ("b", HERE, list(range(length))))
+    found = settled(spark, counts, ("a", HERE, "b", 1.0), length=length)
+    assert found["a", HERE] == [1 + p for p in range(length)]
+    assert found["b", HERE] == list(range(length))
+
+
 def test_missing_periods_of_the_other_series_have_no_effect(spark):
     counts = counted(spark, ("a", HERE, [1, 1, 1]), ("b", HERE, [1]))
     assert settled(spark, counts, ("a", HERE, "b", 1.0))["a", HERE] == [2, 1, 1]

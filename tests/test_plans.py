@@ -20,20 +20,15 @@ def count(plan, operator):
     return len(re.findall(rf"\b{operator}\b", plan))
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith("domain")))
-def test_no_products_of_rows(spark, sf, name):
-    plan = plan_of(entry.queries()[name](spark, sf))
-    assert count(plan, "CartesianProduct") == 0
-    assert count(plan, "BroadcastNestedLoopJoin") == 0
-
-
 SAMPLING = {"poisson_counts", "poisson_calibration", "synthetic_series", "dependency_effect"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SAMPLING))
-def test_no_python_on_the_data(spark, sf, name):
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_products_of_rows_and_no_python_but_for_sampling(spark, sf, name):
     plan = plan_of(entry.queries()[name](spark, sf))
-    assert "EvalPython" not in plan and "InPandas" not in plan
+    assert count(plan, "CartesianProduct") == 0
+    assert count(plan, "BroadcastNestedLoopJoin") == 0
+    assert ("EvalPython" in plan or "InPandas" in plan) == (name in SAMPLING)
 
 
 def test_bucketing_shuffles_once_and_combines_first(spark, sf):
@@ -70,3 +65,32 @@ def test_gap_filling_reads_the_history_once(spark, sf):
     plan = plan_of(fill_gaps(bucket(t.demand(spark, sf), "M"), ["identifier"], "M", middle="median"))
     assert count(plan, "FileScan") == 1
     assert "Join" not in plan
+
+
+def test_ranking_shuffles_the_rows_once(spark, sf):
+    """With a sort-merge join, as for counts too large to broadcast."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(entry.queries()["run_history"](spark, sf))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    rows_side = plan[: plan.index("o_orderkey", plan.index("SortMergeJoin"))]
+    assert count(plan, "SortMergeJoin") == 1
+    # one for the rows; three on the side of the counts, which are combined first
+    assert count(plan, "Exchange") == 4
+    assert count(rows_side[: rows_side.index("SortMergeJoin")], "Exchange") == 0
+
+
+def test_baseline_reads_the_history_once(spark, sf):
+    plan = plan_of(entry.queries()["baseline_forecast"](spark, sf))
+    assert count(plan, "FileScan") == 1
+    assert "Join" not in plan
+
+
+def test_totals_of_all_domains_are_computed_once(spark, sf):
+    df = entry.queries()["domain_normalize"](spark, sf)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert count(final, "ReusedExchange") == 6
