@@ -8,7 +8,8 @@ starts in, and raw rows are stored by the month of their bucket.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +24,22 @@ from demandlake.sources.tables import PARTITION, write_months
 from demandlake.spec import TARGET_TIME_SERIES, DatasetSpec
 
 
-def arrivals(spark: SparkSession, folder: str, spec: DatasetSpec) -> DataFrame:
-    """Lines of CSV files as they arrive, as text, with the type their file name gives them."""
+@dataclass(frozen=True)
+class SideTable:
+    """Where cleaned rows of related series or item metadata are kept, and what they look like."""
+
+    spec: DatasetSpec
+    path: str
+
+
+def arrivals(spark: SparkSession, folder: str, specs: Sequence[DatasetSpec]) -> DataFrame:
+    """Lines of CSV files as they arrive, as text, with the type their file name gives them.
+
+    Lines are read with as many columns as the widest dataset has.
+    """
+    widest = max(specs, key=lambda spec: len(spec.attributes))
     return (
-        spark.readStream.schema(spec.text_struct)
+        spark.readStream.schema(widest.text_struct)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
         .csv(folder)
@@ -40,6 +53,7 @@ def rebuild_batch(
     spec: DatasetSpec,
     frequency: str,
     dimensions: Sequence[str],
+    sides: Mapping[str, SideTable] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The work for one batch of arrived lines; doing it twice gives the same tables.
 
@@ -47,9 +61,11 @@ def rebuild_batch(
     what was there, so a batch that is retried after a lost driver overwrites itself.
     """
 
+    def cleaned_of(batch: DataFrame, kind: str, kind_spec: DatasetSpec) -> DataFrame:
+        return clean_input(batch.where(F.col("_type") == kind).drop("_type"), kind_spec)
+
     def process(batch: DataFrame, batch_id: int) -> None:
-        target = batch.where(F.col("_type") == TARGET_TIME_SERIES).drop("_type")
-        cleaned = clean_input(target, spec).withColumn(
+        cleaned = cleaned_of(batch, TARGET_TIME_SERIES, spec).withColumn(
             PARTITION, month_starting(bucket_start("timestamp", frequency))
         )
         write_months(cleaned.withColumn("batch", F.lit(batch_id)), raw_path, "batch")
@@ -64,6 +80,16 @@ def rebuild_batch(
             rebuilt = bucket(months, frequency, dimensions)
             write_months(rebuilt.withColumn(PARTITION, month_starting("timestamp")), bucket_path)
 
+        for kind, side in (sides or {}).items():
+            (
+                cleaned_of(batch, kind, side.spec)
+                .withColumn("batch", F.lit(batch_id))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch")
+                .parquet(side.path)
+            )
+
     return process
 
 
@@ -76,11 +102,19 @@ def start_ingest(
     spec: DatasetSpec,
     frequency: str,
     dimensions: Sequence[str] = (),
+    sides: Mapping[str, SideTable] | None = None,
 ) -> StreamingQuery:
-    """Process everything that has arrived since the last run, then stop."""
+    """Process everything that has arrived since the last run, then stop.
+
+    ``sides`` says, per dataset type, where related series and item metadata go; types
+    that are not named there are passed over.
+    """
+    specs = [spec, *[side.spec for side in (sides or {}).values()]]
     return (
-        arrivals(spark, folder, spec)
-        .writeStream.foreachBatch(rebuild_batch(raw_path, bucket_path, spec, frequency, dimensions))
+        arrivals(spark, folder, specs)
+        .writeStream.foreachBatch(
+            rebuild_batch(raw_path, bucket_path, spec, frequency, dimensions, sides)
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

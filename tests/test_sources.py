@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from demandlake.session import sized_for, work_folder
 from demandlake.sources import csv, tables
 from demandlake.sources.signatures import file_signatures
-from demandlake.spec import DatasetSpec
-from demandlake.streaming.arrivals import rebuild_batch, start_ingest
+from demandlake.spec import ITEM_METADATA, RELATED_TIME_SERIES, DatasetSpec
+from demandlake.streaming.arrivals import SideTable, rebuild_batch, start_ingest
 
 from conftest import rows
 
@@ -154,6 +154,25 @@ def test_late_files_change_the_buckets_they_touch(spark, tmp_path):
     assert ingest(spark, tmp_path) == expected
 
 
+def test_related_series_and_metadata_arrive_too(spark, tmp_path):
+    arrive(tmp_path, "a.csv", "i,2000-01-05,x,1")
+    arrive(tmp_path, "a.related.csv", "i,2000-01-05,9.5", "i,bad,1", "i,2000-01-06,")
+    arrive(tmp_path, "a.metadata.csv", "i,red,small,round,heavy", ",red,small,round,heavy")
+    related = DatasetSpec.of("RETAIL", item_id="string", timestamp="timestamp", price="float")
+    metadata = DatasetSpec.of("RETAIL", **dict.fromkeys(("item_id", "color", "size", "shape", "weight"), "string"))
+    sides = {
+        RELATED_TIME_SERIES: SideTable(related, str(tmp_path / "related")),
+        ITEM_METADATA: SideTable(metadata, str(tmp_path / "metadata")),
+    }
+    start_ingest(
+        spark, str(tmp_path / "train"), str(tmp_path / "raw"), str(tmp_path / "buckets"),
+        str(tmp_path / "checkpoint"), SPEC, "D", ["location"], sides,
+    ).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "buckets")).count() == 1
+    assert rows(spark.read.parquet(str(tmp_path / "related")).drop("batch")) == [("i", datetime(2000, 1, 5), 9.5)]
+    assert rows(spark.read.parquet(str(tmp_path / "metadata")).drop("batch")) == [("i", "red", "small", "round", "heavy")]
+
+
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     raw, buckets = str(tmp_path / "raw"), str(tmp_path / "buckets")
     process = rebuild_batch(raw, buckets, SPEC, "M", ["location"])
