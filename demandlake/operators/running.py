@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 
 def running_total(
@@ -24,21 +24,31 @@ def rank_newest_first(
 ) -> DataFrame:
     """1 for the newest row of each key, without sorting a whole key in one task.
 
-    A key may hold any share of the rows, so rows are ranked inside (key, day) and moved
-    by the number of rows of the same key on later days, which is counted beforehand.
+    A key may hold any share of the rows, so rows are ranked inside (key, minute) and moved
+    by the number of newer rows of the same key, which is counted beforehand: those of
+    later days, at most one number per key and day, and those of later minutes of the day.
     """
+    keys = list(keys)
     # a struct is never null itself, so nulls inside it join, and its one partitioning
     # serves the join and the window
-    blocks = df.withColumn("_block", F.struct(*keys, F.to_date(moment).alias("_day")))
-    later = (
-        Window.partitionBy(*[f"_block.{k}" for k in keys])
-        .orderBy(F.col("_block._day").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
+    minute = F.date_trunc("minute", F.col(moment)).alias("_minute")
+    blocks = df.withColumn("_block", F.struct(*keys, minute))
+    minutes = blocks.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows"))
+    in_block = [f"_block.{k}" for k in keys]
+    minutes = minutes.withColumn(
+        "_day", F.struct(*in_block, F.to_date("_block._minute").alias("_date"))
+    )
+    later_days = Window.partitionBy(*[f"_day.{k}" for k in keys]).orderBy(F.col("_day._date").desc())
+    later_minutes = Window.partitionBy("_day").orderBy(F.col("_block._minute").desc())
+    days = (
+        minutes.groupBy("_day")
+        .agg(F.sum("_rows").alias("_rows"))
+        .select("_day", _before("_rows", later_days).alias("_on_later_days"))
     )
     ahead = (
-        blocks.groupBy("_block")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_block", F.coalesce(F.sum("_rows").over(later), F.lit(0)).alias("_ahead"))
+        minutes.withColumn("_on_this_day", _before("_rows", later_minutes))
+        .join(days, "_day")
+        .select("_block", (F.col("_on_later_days") + F.col("_on_this_day")).alias("_ahead"))
     )
     within = Window.partitionBy("_block").orderBy(F.col(moment).desc(), F.col(tie).desc())
     return (
@@ -46,3 +56,8 @@ def rank_newest_first(
         .withColumn(rank, F.row_number().over(within) + F.col("_ahead"))
         .select(*df.columns, rank)
     )
+
+
+def _before(value: str, window: WindowSpec) -> Column:
+    """Sum of ``value`` over the rows before this one."""
+    return F.coalesce(F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -153,7 +153,7 @@ def test_rank_with_a_hot_key_ties_and_nulls(spark, seed):
     runs = [
         (
             rng.choice(["hot", "hot", "b", None]),
-            None if rng.random() < 0.05 else START + timedelta(hours=rng.randint(0, 100)),
+            None if rng.random() < 0.05 else START + timedelta(seconds=rng.randint(0, 10) * rng.choice([5, 400, 30_000])),
             i,
         )
         for i in range(400)
