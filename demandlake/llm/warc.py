@@ -279,7 +279,7 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> D
                 yield pa.RecordBatch.from_pylist(held, schema=schema)
 
     fields = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return listed.repartition("file").mapInArrow(run, fields + ", payload binary" * payloads)
+    return listed.repartition(max(1, listed.count())).mapInArrow(run, fields + ", payload binary" * payloads)
 
 
 def _read(fields: dict[str, str], block: bytes, payloads: bool) -> dict:
