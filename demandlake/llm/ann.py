@@ -9,24 +9,25 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlake.llm.rows import Batches, draw, per_batch, written
 
 NEIGHBOURS = 20
-RECALL = 0.96
+RECALL = 0.94
 BRANCHES = 8
 # Vectors in a leaf as the tree is laid out, sampled vectors per leaf, and most numbers in the sample.
 LEAF = 256
 PER_LEAF = 24
 SAMPLE_NUMBERS = 2_000_000
 CALIBRATION = 200
-# Vectors that one task compares at a time; larger leaves are split.
-CHUNK = 4096
+# Vectors that are compared at a time: neighbouring leaves share a shelf, and larger leaves have several.
+SHELF = 4096
 _GROUP = 512
 
 
@@ -163,8 +164,10 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _answers(parts: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.RecordBatch:
-    kinds = {"score": np.float64}
-    columns = [pa.array(np.concatenate([np.empty(0), *[p[i] for p in parts]]).astype(kinds.get(n, np.int64))) if n == "score" else pa.array(np.concatenate([np.empty(0, np.int64), *[p[i] for p in parts]])) for i, n in enumerate(names)]
+    columns = []
+    for i, name in enumerate(names):
+        kind = np.float64 if name == "score" else np.int64
+        columns.append(pa.array(np.concatenate([np.empty(0, kind), *[p[i].astype(kind) for p in parts]])))
     return pa.RecordBatch.from_arrays(columns, names)
 
 
@@ -277,56 +280,89 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, target: fl
 
         return apply
 
-    shape = "vec_id long, vector array<double>, leaf long"
-    indexed = written(per_batch(listed, placed, shape), "leaves")
-    sizes = {r["leaf"]: -(-r["count"] // CHUNK) for r in indexed.groupBy("leaf").count().collect()}
-    parts = np.array([sizes.get(leaf, 0) for leaf in range(tree.leaves)])
+    indexed = written(per_batch(listed, placed, "vec_id long, vector array<double>, leaf long"), "leaves")
+    sizes = {r["leaf"]: r["count"] for r in indexed.groupBy("leaf").count().collect()}
+    first, many = shelves([sizes.get(leaf, 0) for leaf in range(tree.leaves)])
+
+    def at_leaf(numbers: list[int]) -> Column:
+        return F.element_at(F.lit(numbers).cast("array<bigint>"), (F.col("leaf") + 1).cast("int"))
+
+    shelf = at_leaf(first) + F.pmod(F.xxhash64("vec_id", F.lit("shelf")), at_leaf(many))
+    nothing = F.lit(float("-inf"))
+    stored = indexed.select("vec_id", "vector", shelf.alias("shelf"), nothing.alias("floor"), F.lit(0).alias("kind"))
+
+    def asked(queries: DataFrame, opening: bool) -> DataFrame:
+        """A row for each query and shelf: the first one it visits, or all others."""
+
+        def make():
+            def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
+                places, visited = [], []
+                for at, query in enumerate(raised(_matrix(batch.column("vector")), lift)):
+                    leaves = tree.visits(query, visits)
+                    found = list(dict.fromkeys(s for leaf in leaves for s in range(first[leaf], first[leaf] + many[leaf])))
+                    chosen = found[:1] if opening else found[1:]
+                    places += [at] * len(chosen)
+                    visited += chosen
+                rows = batch.take(pa.array(places, pa.int64()))
+                columns = [rows.column("vec_id"), rows.column("vector"), pa.array(visited, pa.int64()), rows.column("floor")]
+                return pa.RecordBatch.from_arrays(columns, ["vec_id", "vector", "shelf", "floor"])
+
+            return apply
+
+        return per_batch(queries, make, "vec_id long, vector array<double>, shelf long, floor double").withColumn("kind", F.lit(1))
+
+    def compared(questions: DataFrame) -> DataFrame:
+        met = stored.unionByName(questions).repartition("shelf").sortWithinPartitions("shelf", "kind")
+        return met.mapInArrow(partial(_compare, k=k), "query_id long, vec_id long, score double")
+
+    # the first shelf gives each query a score that the others have to reach
+    opened = written(compared(asked(queries.withColumn("floor", nothing), True)), "opened")
+    floors = opened.groupBy(F.col("query_id").alias("vec_id")).agg(
+        F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(nothing).alias("floor")
+    )
+    rest = queries.join(floors, "vec_id", "left").select("vec_id", "vector", F.coalesce("floor", nothing).alias("floor"))
+    answers = opened.unionByName(compared(asked(rest, False)))
+    return _ranked(answers, k).select("query_id", "rank", "vec_id", "score")
 
-    def routed():
-        def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ahead = raised(_matrix(batch.column("vector")), lift)
-            places, leaves, chunks = [], [], []
-            for at, query in enumerate(ahead):
-                for leaf in tree.visits(query, visits):
-                    for chunk in range(parts[leaf]):
-                        places.append(at)
-                        leaves.append(leaf)
-                        chunks.append(chunk)
-            chosen = batch.take(pa.array(places, pa.int64()))
-            return pa.RecordBatch.from_arrays(
-                [chosen.column("vec_id"), chosen.column("vector"), pa.array(leaves, pa.int64()), pa.array(chunks, pa.int64())],
-                ["vec_id", "vector", "leaf", "chunk"],
-            )
 
-        return apply
+def shelves(sizes: list[int], most: int = SHELF) -> tuple[list[int], list[int]]:
+    """First shelf and number of shelves of each leaf, by the number of vectors in it."""
+    first, many, shelf, filled = [], [], 0, 0
+    for size in sizes:
+        if filled and filled + size > most:
+            shelf, filled = shelf + 1, 0
+        parts = max(1, -(-size // most))
+        first.append(shelf)
+        many.append(parts)
+        shelf += parts - 1
+        filled = most if parts > 1 else filled + size
+    return first, many
 
-    split = F.element_at(F.lit(parts.tolist()).cast("array<bigint>"), (F.col("leaf") + 1).cast("int"))
-    chunked = indexed.withColumn("chunk", F.pmod(F.xxhash64("vec_id", F.lit("chunk")), split)).withColumn("kind", F.lit(0))
-    asked = per_batch(queries, routed, f"{shape}, chunk long").withColumn("kind", F.lit(1))
-    met = chunked.unionByName(asked).repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk", "kind")
 
-    def compare(batches: Batches) -> Batches:
-        key, rows, ids = None, [], []
-        for batch in batches:
-            leaf, chunk, kind, own = (batch.column(c).to_numpy() for c in ("leaf", "chunk", "kind", "vec_id"))
-            if not len(own):
+def _compare(batches: Batches, k: int) -> Batches:
+    """Answers of each shelf, whose vectors come before the queries that visit it.
+
+    The vectors of one shelf are held, queries are compared as they come.
+    """
+    key, rows, ids = None, [], []
+    for batch in batches:
+        shelf, kind, own, floor = (batch.column(c).to_numpy() for c in ("shelf", "kind", "vec_id", "floor"))
+        if not len(own):
+            continue
+        matrix, out = _matrix(batch.column("vector")), []
+        cuts = np.flatnonzero((shelf[1:] != shelf[:-1]) | (kind[1:] != kind[:-1])) + 1
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(own)], strict=True):
+            if key != shelf[low]:
+                key, rows, ids = shelf[low], [], []
+            if kind[low] == 0:
+                rows.append(matrix[low:high])
+                ids.append(own[low:high])
                 continue
-            matrix, out = _matrix(batch.column("vector")), []
-            cuts = np.flatnonzero((leaf[1:] != leaf[:-1]) | (chunk[1:] != chunk[:-1]) | (kind[1:] != kind[:-1])) + 1
-            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(own)], strict=True):
-                if key != (leaf[low], chunk[low]):
-                    key, rows, ids = (leaf[low], chunk[low]), [], []
-                if kind[low] == 0:
-                    rows.append(matrix[low:high])
-                    ids.append(own[low:high])
-                    continue
-                if len(rows) > 1:
-                    rows, ids = [np.concatenate(rows)], [np.concatenate(ids)]
-                for first in range(low, high, _GROUP) if rows else ():
-                    last = min(high, first + _GROUP)
-                    at, vec, score = best_of(matrix[first:last], own[first:last], rows[0], ids[0], k)
-                    out.append((own[first:last][at], vec, score))
-            yield _answers(out, ["query_id", "vec_id", "score"])
-
-    answers = met.select("leaf", "chunk", "kind", "vec_id", "vector").mapInArrow(compare, "query_id long, vec_id long, score double")
-    return _ranked(answers, k).select("query_id", "rank", "vec_id", "score")
+            if len(rows) > 1:
+                rows, ids = [np.concatenate(rows)], [np.concatenate(ids)]
+            for start in range(low, high, _GROUP) if rows else ():
+                end = min(high, start + _GROUP)
+                at, vec, score = best_of(matrix[start:end], own[start:end], rows[0], ids[0], k)
+                good = score >= floor[start:end][at]
+                out.append((own[start:end][at[good]], vec[good], score[good]))
+        yield _answers(out, ["query_id", "vec_id", "score"])
