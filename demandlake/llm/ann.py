@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandlake.llm.rows import Batches, draw, per_batch, written
+from demandlake.llm.rows import Batches, draw, in_batches, per_batch, written
 
 NEIGHBOURS = 20
 RECALL = 0.94
@@ -191,7 +191,7 @@ def _brute(vectors: DataFrame, ids: np.ndarray, queries: np.ndarray, tree: Tree,
         if held:
             yield _answers([(ids[held[0]], held[1], held[2], held[3])], ["query_id", "vec_id", "score", "leaf"])
 
-    return vectors.mapInArrow(run, "query_id long, vec_id long, score double, leaf long")
+    return in_batches(vectors, run, "query_id long, vec_id long, score double, leaf long")
 
 
 def lifted(rows: np.ndarray, lift: float) -> np.ndarray:
@@ -313,7 +313,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, target: fl
 
     def compared(questions: DataFrame) -> DataFrame:
         met = stored.unionByName(questions).repartition("shelf").sortWithinPartitions("shelf", "kind")
-        return met.mapInArrow(partial(_compare, k=k), "query_id long, vec_id long, score double")
+        return in_batches(met, partial(_compare, k=k), "query_id long, vec_id long, score double")
 
     # the first shelf gives each query a score that the others have to reach
     opened = written(compared(asked(queries.withColumn("floor", nothing), True)), "opened")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,13 @@ def draw(key: Column, salt: str) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
+def in_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str) -> DataFrame:
+    """``df.mapInArrow``, with workers that find this library where the driver has it, if not by themselves."""
+    here = str(Path(__file__).resolve().parents[2])
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", here)
+    return df.mapInArrow(run, schema)
+
+
 def per_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply a function to each Arrow batch; ``make`` runs once in each task and sets the function up."""
 
@@ -42,4 +50,4 @@ def per_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
             if batch.num_rows:
                 yield apply(batch)
 
-    return df.mapInArrow(run, schema)
+    return in_batches(df, run, schema)

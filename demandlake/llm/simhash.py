@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlake.llm.components import components
-from demandlake.llm.rows import Batches, per_batch, written
+from demandlake.llm.rows import Batches, in_batches, per_batch, written
 
 SHINGLE_WORDS = 3
 DISTANCE = 3
@@ -165,7 +165,7 @@ def links(prints: DataFrame, distance: int = DISTANCE, crowded: int = CROWDED) -
             yield _pairs([linked_in(np.unique(np.concatenate(held)), distance)])
 
     placed = keyed.repartition("mask", "shared").sortWithinPartitions("mask", "shared", "bits")
-    return placed.select("mask", "shared", "bits").mapInArrow(verify, "one long, two long")
+    return in_batches(placed.select("mask", "shared", "bits"), verify, "one long, two long")
 
 
 def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandlake.llm.rows import Batches, draw, per_batch, written
+from demandlake.llm.rows import Batches, draw, in_batches, per_batch, written
 
 SPAN = 20
 _GRAM = 6
@@ -287,7 +287,7 @@ def _compared(pieces: DataFrame, span: int) -> DataFrame:
         yield _spans(close())
 
     placed = pieces.repartition("shard").sortWithinPartitions("shard", "doc", "pos")
-    return placed.mapInArrow(run, "doc long, pos long, end long")
+    return in_batches(placed, run, "doc long, pos long, end long")
 
 
 def _spans(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:

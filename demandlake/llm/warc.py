@@ -20,7 +20,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlake.llm.rows import Batches
+from demandlake.llm.rows import Batches, in_batches
 from demandlake.session import work_folder
 
 # Payload of a shard, and compressed size at which a file ends.
@@ -214,7 +214,7 @@ def write_archives(
         if files is not None:
             yield _listed([files.close()])
 
-    placed.mapInArrow(run, _MANIFEST).write.parquet(f"{folder}/manifest")
+    in_batches(placed, run, _MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
 
 
@@ -279,7 +279,7 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> D
                 yield pa.RecordBatch.from_pylist(held, schema=schema)
 
     fields = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return listed.repartition(max(1, listed.count())).mapInArrow(run, fields + ", payload binary" * payloads)
+    return in_batches(listed.repartition(max(1, listed.count())), run, fields + ", payload binary" * payloads)
 
 
 def _read(fields: dict[str, str], block: bytes, payloads: bool) -> dict:
