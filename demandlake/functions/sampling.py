@@ -39,9 +39,22 @@ def normal(mean: Column, deviation: Column, seed: int, *keys: Column | str) -> C
     return mean + deviation * radius * F.cos(angle)
 
 
+_SMALL_LOG_FACTORIALS = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1.0, 256.0)))])
+
+
 def _log_factorial(k: np.ndarray) -> np.ndarray:
-    distinct, position = np.unique(k, return_inverse=True)
-    return np.array([math.lgamma(x + 1.0) for x in distinct])[position]
+    """Summed up to 255, Stirling's series beyond, where its next term is below 1e-15."""
+    x = np.maximum(k, 1.0)
+    series = x * np.log(x) - x + 0.5 * np.log(2 * math.pi * x) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    return np.where(k < 256, _SMALL_LOG_FACTORIALS[np.minimum(k, 255).astype(int)], series)
+
+
+def _counts(draw: Callable[..., np.ndarray], u: pd.Series, *parameters: pd.Series) -> pd.Series:
+    """Draws as nullable counts: a null or NaN parameter has no count."""
+    values = [p.to_numpy(float, na_value=np.nan) for p in parameters]
+    unknown = np.isnan(np.stack(values)).any(axis=0)
+    drawn = draw(u.to_numpy(float), *[np.where(unknown, 0.0, v) for v in values])
+    return pd.Series(pd.array(drawn, "Int64")).mask(unknown)
 
 
 def _walk_from_mode(
@@ -129,15 +142,13 @@ def binomial_quantiles(u: np.ndarray, trials: np.ndarray, chance: np.ndarray) ->
 @F.pandas_udf(T.LongType())
 def _poisson(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for u, rate in batches:
-        yield pd.Series(poisson_quantiles(u.to_numpy(float), rate.to_numpy(float)))
+        yield _counts(poisson_quantiles, u, rate)
 
 
 @F.pandas_udf(T.LongType())
 def _binomial(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for u, trials, chance in batches:
-        yield pd.Series(
-            binomial_quantiles(u.to_numpy(float), trials.to_numpy(float), chance.to_numpy(float))
-        )
+        yield _counts(binomial_quantiles, u, trials, chance)
 
 
 def poisson(rate: Column, seed: int, *keys: Column | str) -> Column:

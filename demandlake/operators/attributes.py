@@ -34,24 +34,20 @@ class GenericNames:
         )
 
     def discover(self, columns: Sequence[str]) -> "GenericNames":
-        """Give slots to attributes of one more series or export frame."""
-        dimensions, metadata = list(self.dimensions), list(self.metadata)
-        for name in columns:
-            if name in self.reserved or name in dimensions or name in metadata:
-                continue
-            if name in self.target_fields:
-                dimensions.append(name)
-            elif name in self.metadata_fields:
-                metadata.append(name)
+        """Give slots to the attributes of one more series or export frame.
+
+        An attribute of the target is a dimension, also if the metadata has it too; one of
+        the metadata alone is metadata. A name that has a slot keeps it.
+        """
+        dimensions = _in_order(self.dimensions, columns, set(self.target_fields) - {*self.reserved, *self.metadata})
+        metadata = _in_order(
+            self.metadata, columns, set(self.metadata_fields) - {*self.reserved, *self.target_fields, *dimensions}
+        )
         return self._with(dimensions, metadata)
 
     def discover_metadata(self, columns: Sequence[str]) -> "GenericNames":
         """Give slots to the metadata frame; there every attribute is metadata."""
-        metadata = list(self.metadata)
-        for name in columns:
-            if name not in self.reserved and name not in metadata:
-                metadata.append(name)
-        return self._with(self.dimensions, metadata)
+        return self._with(self.dimensions, _in_order(self.metadata, columns, set(columns) - set(self.reserved)))
 
     def renames(self, columns: Sequence[str]) -> dict[str, str]:
         numbered = {n: f"metadata_{i}" for i, n in enumerate(self.metadata, start=1)}
@@ -68,6 +64,11 @@ class GenericNames:
         )
 
 
+def _in_order(slots: Sequence[str], columns: Sequence[str], allowed: set[str]) -> list[str]:
+    """The slots so far and, behind them, the allowed columns that are new, each once."""
+    return list(dict.fromkeys([*slots, *[name for name in columns if name in allowed]]))
+
+
 def drop_metadata(df: DataFrame) -> DataFrame:
     """Drop generically named metadata columns; the metadata join brings them back."""
     return df.drop(*[c for c in df.columns if _METADATA_COLUMN.match(c)])

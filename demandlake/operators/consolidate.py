@@ -76,10 +76,13 @@ def consolidate(
     target_spec: DatasetSpec,
     metadata: DataFrame | None = None,
     metadata_spec: DatasetSpec | None = None,
+    backtest_rows: DataFrame | None = None,
 ) -> DataFrame:
     """The consolidated table: bucketed history up to the backtest, backtest, forecast, metadata.
 
-    Generic numbers are given in the order history, forecast, backtest, metadata.
+    Generic numbers are given in the order history, forecast, backtest, metadata. The
+    cutoff of the history comes from ``backtest_rows`` if given: the backtest before its
+    duplicates went, whose earliest timestamp is the same and takes no shuffle to find.
     """
     names = GenericNames.for_spec(target_spec, metadata_spec)
     for frame in (history, forecast, backtest):
@@ -89,7 +92,8 @@ def consolidate(
         return drop_metadata(frame.withColumnsRenamed(names.renames(frame.columns)))
 
     history, forecast, backtest = generic(history), generic(forecast), generic(backtest)
-    combined = union_frames(cut_history(history, backtest), backtest)
+    cutoff = backtest if backtest_rows is None else backtest_rows
+    combined = union_frames(cut_history(history, cutoff), backtest)
     combined = union_frames(combined, forecast)
     if metadata is not None:
         names = names.discover_metadata(metadata.columns)

@@ -75,6 +75,33 @@ def wrong_seasonalities(models: DataFrame) -> DataFrame:
     )
 
 
+def invalid_rates(models: DataFrame) -> DataFrame:
+    """(name, rate) of series whose rate is null, NaN or negative."""
+    rate = F.col("rate").cast("double")
+    return models.select("name", "rate").where(rate.isNull() | F.isnan(rate) | (rate < 0))
+
+
+def invalid_factors(models: DataFrame) -> DataFrame:
+    """(name, seasonality) with a factor that is null, NaN or negative."""
+    kinds = [F.struct(F.lit(kind).alias("seasonality"), F.col(kind).alias("factors")) for kind in SEASONALITY_LENGTHS]
+    return (
+        models.select("name", F.explode(F.array(*kinds)).alias("_s"))
+        .where(F.exists("_s.factors", lambda x: x.isNull() | F.isnan(x.cast("double")) | (x < 0)))
+        .select("name", "_s.seasonality")
+    )
+
+
+def duplicate_series(models: DataFrame) -> DataFrame:
+    """Series given more than once, by name and filled dimensions."""
+    return models.groupBy("name", "dimensions").agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+
+
+def invalid_chances(dependencies: DataFrame) -> DataFrame:
+    """(name, dependency) whose chance is null or NaN."""
+    chance = F.col("chance").cast("double")
+    return dependencies.select("name", "dependency", "chance").where(chance.isNull() | F.isnan(chance))
+
+
 def duplicate_dimensions(entries: DataFrame) -> DataFrame:
     """Dimensions given more than once for a series; ``entries`` has ``name, dimension``."""
     return (
@@ -224,9 +251,9 @@ def seasonal_series(models: DataFrame, start: datetime | str, length: int, outpu
 
 
 def metadata_multiplier(seed: int) -> Column:
-    """Product over a row's metadata of normal draws between ``min`` and ``max``.
+    """Product over a row's metadata of one normal draw each, centred between ``min`` and ``max``.
 
-    99.7 % of draws fall between the two; equal bounds give exactly that number. Needs the
+    The bounds lie three deviations from the centre; equal bounds give exactly that number. Needs the
     columns ``name, dimensions, period, metadata``; bad bounds fail the job.
     """
 

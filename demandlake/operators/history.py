@@ -29,6 +29,7 @@ def fill_gaps(
     back: str | None = None,
     future: str | None = None,
     horizon: int = 0,
+    extent: DataFrame | None = None,
 ) -> DataFrame:
     """Give every series a row for every period.
 
@@ -39,8 +40,11 @@ def fill_gaps(
     no rows at all. Missing values inside the history are filled like middle gaps.
 
     A row carries the gap up to its successor and is exploded into it, so the history is
-    read once and never joined to a calendar.
+    never joined to a calendar. The first and last period of all series come from ``extent``,
+    a frame with the same extremes in ``timestamp``: rows before they were bucketed give
+    them without grouping the history again. Left out, they come from ``df``.
     """
+    extent = df if extent is None else extent
     for fill in (middle, front, back, future):
         if fill is not None and fill not in FILLS:
             raise ValueError(f"unknown fill {fill!r}, expected one of {', '.join(FILLS)}")
@@ -52,9 +56,9 @@ def fill_gaps(
     columns = {"_next": F.lead("timestamp").over(ordered)}
     if front:
         columns["_previous"] = F.lag("timestamp").over(ordered)
-        columns["_earliest"] = df.select(F.min("timestamp")).scalar()
+        columns["_earliest"] = extent.select(F.min("timestamp")).scalar()
     if back or future:
-        columns["_latest"] = df.select(F.max("timestamp")).scalar()
+        columns["_latest"] = extent.select(F.max("timestamp")).scalar()
     if "median" in used:
         columns["_median"] = F.percentile("metric", F.lit(0.5)).over(whole)
     if "max" in used:
@@ -142,18 +146,24 @@ def after(df: DataFrame, frequency: str, length: int) -> DataFrame:
 
 
 def backtest_split(
-    df: DataFrame, frequency: str, length: int, windows: int = 1, offset: int | None = None
+    df: DataFrame,
+    frequency: str,
+    length: int,
+    windows: int = 1,
+    offset: int | None = None,
+    extent: DataFrame | None = None,
 ) -> DataFrame:
     """Tag rows as train or test, once per backtest window.
 
     Window 1 splits ``offset`` periods before the end of the data (``length`` when not
     given), each further window ``length`` periods earlier. Rows before the split train,
-    the ``length`` periods from it test, later rows are in neither part.
+    the ``length`` periods from it test, later rows are in neither part. ``extent`` is a
+    frame with the same latest ``timestamp``, as for ``fill_gaps``.
     """
     offset = length if offset is None else offset
     if offset < length:
         raise ValueError("the offset must be at least the horizon")
-    latest = df.select(F.max("timestamp")).scalar()
+    latest = (df if extent is None else extent).select(F.max("timestamp")).scalar()
     back = (F.lit(1 - offset) - (F.col("window") - 1) * F.lit(length)).cast("int")
     tagged = df.select("*", F.explode_outer(F.sequence(F.lit(1), F.lit(windows))).alias("window")).withColumn(
         "_split", add_periods(latest, frequency, back)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlake.operators.bucket import bucket
-from demandlake.operators.clean import clean_export, clean_input
+from demandlake.operators.clean import clean_export, clean_input, map_export
 from demandlake.operators.consolidate import consolidate
 from demandlake.operators.manifest import newest
 from demandlake.functions.text import is_active
@@ -86,12 +86,21 @@ def consolidated(
     history = bucket(
         clean_input(read_dataset(spark, sources.target, target_spec), target_spec), frequency, dimensions
     )
-    backtest = clean_export(read_export(spark, sources.backtest), target_spec, backtest=True)
+    raw_backtest = read_export(spark, sources.backtest)
+    backtest = clean_export(raw_backtest, target_spec, backtest=True)
     forecast = clean_export(read_export(spark, sources.forecast), target_spec, backtest=False)
     metadata = None
     if sources.metadata and metadata_spec:
         metadata = clean_input(read_dataset(spark, sources.metadata, metadata_spec), metadata_spec)
-    return consolidate(history, backtest, forecast, target_spec, metadata, metadata_spec)
+    return consolidate(
+        history,
+        backtest,
+        forecast,
+        target_spec,
+        metadata,
+        metadata_spec,
+        backtest_rows=map_export(raw_backtest, target_spec, backtest=True),
+    )
 
 
 def run_consolidation(

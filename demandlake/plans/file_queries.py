@@ -10,7 +10,7 @@ from demandlake.plans import tables as t
 from demandlake.plans.consolidation import resolve_sources, run_consolidation
 from demandlake.plans.registry import query
 from demandlake.session import work_folder
-from demandlake.sources import csv, tables
+from demandlake.sources import csv, signatures, tables
 from demandlake.spec import DatasetSpec
 from demandlake.streaming.arrivals import start_ingest
 
@@ -114,17 +114,43 @@ def multi_export(spark, sf):
 _POPULATED = [*h._PRESENT, "month_starting"]
 
 
+@query("sink_roundtrip", f"""SELECT {", ".join(f'"{c}"' for c in _POPULATED)} FROM ({h.CONSOLIDATED_SQL})""")
+def sink_roundtrip(spark, sf):
+    path = work_folder(spark, "consolidated")
+    name = tables.write_by_month(h.consolidated(spark, sf), f"consolidated_{path[-32:]}", path)
+    return spark.table(name).select(*_POPULATED)
+
+
 @query(
-    "sink_roundtrip",
+    "sink_range",
     f"""SELECT {", ".join(f'"{c}"' for c in _POPULATED)} FROM ({h.CONSOLIDATED_SQL})
         WHERE "timestamp" BETWEEN TIMESTAMP '2000-10-15' AND TIMESTAMP '2001-07-15'""",
 )
-def sink_roundtrip(spark, sf):
+def sink_range(spark, sf):
+    """Nine months of the stored table, whose partitions are all that is read."""
     path = work_folder(spark, "consolidated")
     name = tables.write_by_month(h.consolidated(spark, sf), f"consolidated_{path[-32:]}", path)
     return tables.read_range(spark.table(name), "2000-10-15", "2001-07-15").select(*_POPULATED)
 
 
+@query(
+    "file_signatures",
+    """SELECT l_suppkey AS supplier, l_suppkey % 7 = 0 AND max(l_quantity) > 0 AS changed FROM lineitem GROUP BY 1""",
+)
+def file_signatures(spark, sf):
+    """A file for each supplier, written twice: in another order, and for some with other quantities."""
+    key = F.col("supplier")
+    lines = _lines(spark, sf, F.col("l_suppkey").alias("supplier"), F.col("l_orderkey").alias("order"))
+    quantity = F.when(key % 7 == 0, F.col("demand").cast("double") + 1).otherwise(F.col("demand").cast("double"))
+    signed = []
+    for state, rows in (("before", lines.orderBy("order")), ("after", lines.withColumn("demand", quantity.cast("string")).orderBy(F.desc("order")))):
+        path = work_folder(spark, state)
+        rows.withColumn("demand", F.col("demand").cast("double").cast("string")).repartition("supplier").write.partitionBy("supplier").csv(path)
+        supplier = F.regexp_extract("path", "supplier=([^/]+)", 1).cast("long").alias("supplier")
+        signed.append(signatures.file_signatures(spark, path).select(supplier, F.col("signature").alias(state)))
+    return signed[0].join(signed[1], "supplier").select("supplier", (F.col("before") != F.col("after")).alias("changed"))
+
+
 @query(
     "sql_view",
     f"""SELECT month_starting, dimension_1, metadata_1, count(*) AS points, sum(metric) AS metric,

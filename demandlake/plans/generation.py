@@ -46,6 +46,12 @@ def check_models(models: DataFrame, dependencies: DataFrame | None = None) -> No
     }
     if dependencies is not None:
         checks["dependency without exactly one match"] = g.unmatched_dependencies(models, dependencies)
+        checks["dependency without a chance"] = g.invalid_chances(dependencies)
+    checks |= {
+        "rate missing or negative": g.invalid_rates(models),
+        "seasonality factor missing or negative": g.invalid_factors(models),
+        "series given twice": g.duplicate_series(models),
+    }
     for problem, offenders in checks.items():
         example = offenders.first()
         if example is not None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandlake.functions.calendar import month_starting
+from demandlake.functions.calendar import bucket_start, month_starting
 from demandlake.operators import consolidate as c
 from demandlake.operators import views
 from demandlake.operators.bucket import bucket
@@ -54,6 +54,11 @@ def weekly(spark, sf):
     return bucket(t.demand(spark, sf), "W", ["location"])
 
 
+def _starts(spark, sf, frequency):
+    """The bucket of each row, not grouped: the same first and last period as the history has."""
+    return t.demand(spark, sf).select(bucket_start("timestamp", frequency).alias("timestamp"))
+
+
 # -- consolidation --------------------------------------------------------------------------
 
 _CUT_SQL = f"""
@@ -63,7 +68,7 @@ _CUT_SQL = f"""
 
 @query("history_cutoff", _CUT_SQL)
 def history_cutoff(spark, sf):
-    return c.cut_history(weekly(spark, sf), t.backtest(spark, sf))
+    return c.cut_history(weekly(spark, sf), t.backtest_rows(spark, sf))
 
 
 @query("history_cutoff_no_backtest", t.WEEKLY_SQL)
@@ -119,15 +124,15 @@ def wide(spark, sf):
     return c.to_wide(bucket(t.demand(spark, sf), "Y"))
 
 
-def _partial_metadata(spark, sf):
-    """No metadata for the largest parts, two rows for one brand."""
+def _repeated_metadata(spark, sf, smaller_than=None):
+    """Two rows for the parts of one brand; metadata of all parts, or of those below a size."""
     parts = t.table(spark, sf, "part").select(
         F.col("p_partkey").cast("string").alias("identifier"),
         F.col("p_brand").alias("metadata_1"),
         F.col("p_type").alias("metadata_2"),
         "p_size",
     )
-    known = parts.where(F.col("p_size") < 45)
+    known = parts if smaller_than is None else parts.where(F.col("p_size") < smaller_than)
     again = known.where(F.col("metadata_1") == "Brand#2").withColumn("metadata_2", F.lit("second row"))
     return known.unionByName(again).drop("p_size")
 
@@ -145,15 +150,16 @@ _PARTIAL_SQL = """
         FROM ({t.WEEKLY_SQL}) LEFT JOIN ({_PARTIAL_SQL}) USING (identifier)""",
 )
 def join_metadata(spark, sf):
-    return c.join_metadata(weekly(spark, sf), _partial_metadata(spark, sf))
+    return c.join_metadata(weekly(spark, sf), _repeated_metadata(spark, sf, smaller_than=45))
 
 
 @query(
     "metadata_fanout",
-    f"SELECT identifier, count(*) AS copies FROM ({_PARTIAL_SQL}) GROUP BY 1 HAVING count(*) > 1",
+    """SELECT CAST(p_partkey AS VARCHAR) AS identifier, count(*) * 2 AS copies FROM part
+       WHERE p_brand = 'Brand#2' GROUP BY 1""",
 )
 def metadata_fanout(spark, sf):
-    return c.duplicate_identifiers(_partial_metadata(spark, sf))
+    return c.duplicate_identifiers(_repeated_metadata(spark, sf))
 
 
 _PRESENT = {
@@ -186,6 +192,7 @@ def consolidated(spark, sf):
         t.TARGET_SPEC,
         t.metadata(spark, sf),
         t.METADATA_SPEC,
+        backtest_rows=t.backtest_rows(spark, sf),
     )
 
 
@@ -265,7 +272,7 @@ def _gap_sql(start: str, end: str, segment: str, metric: str) -> str:
     ),
 )
 def gapfill_zero(spark, sf):
-    return fill_gaps(monthly(spark, sf), ["identifier"], "M", middle="zero", back="zero")
+    return fill_gaps(monthly(spark, sf), ["identifier"], "M", middle="zero", back="zero", extent=_starts(spark, sf, "M"))
 
 
 @query(
@@ -278,7 +285,7 @@ def gapfill_zero(spark, sf):
     ),
 )
 def gapfill_median(spark, sf):
-    return fill_gaps(monthly(spark, sf), ["identifier"], "M", middle="median", front="none")
+    return fill_gaps(monthly(spark, sf), ["identifier"], "M", middle="median", front="none", extent=_starts(spark, sf, "M"))
 
 
 @query(
@@ -293,7 +300,14 @@ def gapfill_median(spark, sf):
 )
 def gapfill_future(spark, sf):
     return fill_gaps(
-        monthly(spark, sf), ["identifier"], "M", middle="median", back="median", future="max", horizon=6
+        monthly(spark, sf),
+        ["identifier"],
+        "M",
+        middle="median",
+        back="median",
+        future="max",
+        horizon=6,
+        extent=_starts(spark, sf, "M"),
     )
 
 
@@ -317,7 +331,7 @@ def horizon_rows(spark, sf):
         FROM weekly, w WHERE "timestamp" < split + INTERVAL 8 WEEK""",
 )
 def split(spark, sf):
-    return backtest_split(weekly(spark, sf), "W", 8, windows=3)
+    return backtest_split(weekly(spark, sf), "W", 8, windows=3, extent=_starts(spark, sf, "W"))
 
 
 def _rounded(df, *names):

@@ -83,7 +83,7 @@ _CHANGED_SQL = f"""(SELECT "group", max(modified) AS data_modified FROM ({t.DATA
 @query(
     "retrain_needed",
     f"""WITH groups AS (SELECT DISTINCT "group" FROM ({t.DATASETS_SQL})),
-             last AS (SELECT * FROM ({t.GROUP_RUNS_SQL}) WHERE kind = 'predictor' AND status <> 'CREATE_IN_PROGRESS'
+             last AS (SELECT * FROM ({t.GROUP_RUNS_SQL}) WHERE kind = 'predictor'
                       QUALIFY row_number() OVER (PARTITION BY "group" ORDER BY created DESC, run DESC) = 1)
         SELECT "group", run, reason, reason <> 'up to date' AS retrain FROM (
           SELECT "group", run, CASE WHEN run IS NULL THEN 'no predictor'
@@ -95,9 +95,7 @@ _CHANGED_SQL = f"""(SELECT "group", max(modified) AS data_modified FROM ({t.DATA
 )
 def retrain_needed(spark, sf):
     datasets = t.datasets(spark, sf)
-    predictors = t.group_runs(spark, sf).where(
-        (F.col("kind") == "predictor") & (F.col("status") != "CREATE_IN_PROGRESS")
-    )
+    predictors = t.group_runs(spark, sf).where(F.col("kind") == "predictor")
     return m.retrain_needed(
         datasets.select("group").distinct(), predictors, datasets, F.lit(NOW).cast("timestamp")
     )
@@ -107,7 +105,7 @@ def retrain_needed(spark, sf):
     "forecast_stale",
     f"""WITH runs AS ({t.GROUP_RUNS_SQL}),
              forecasts AS (SELECT "group", predictor, run, created, modified FROM runs
-                           WHERE status = 'ACTIVE' AND kind <> 'import'),
+                           WHERE kind <> 'import'),
              current AS (SELECT "group", predictor FROM runs WHERE status <> 'CREATE_FAILED'
                          QUALIFY row_number() OVER (PARTITION BY "group" ORDER BY created DESC, run DESC) = 1),
              last AS (SELECT * FROM forecasts
@@ -121,7 +119,7 @@ def retrain_needed(spark, sf):
 )
 def forecast_stale(spark, sf):
     runs = t.group_runs(spark, sf)
-    forecasts = runs.where((F.col("status") == "ACTIVE") & (F.col("kind") != "import"))
+    forecasts = runs.where(F.col("kind") != "import")
     current = m.newest(
         runs.where(F.col("status") != "CREATE_FAILED").select("group", "predictor", "run", "created"),
         ["group"],

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlake.operators.bucket import bucket
-from demandlake.operators.clean import clean_export, clean_input
+from demandlake.operators.clean import clean_export, clean_input, map_export
 from demandlake.spec import DatasetSpec
 
 TARGET_SPEC = DatasetSpec.of(
@@ -155,6 +155,11 @@ def backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_export(raw_backtest(spark, sf_dir), TARGET_SPEC, backtest=True)
 
 
+def backtest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The backtest with its duplicates: the same timestamps, and no shuffle to find them."""
+    return map_export(raw_backtest(spark, sf_dir), TARGET_SPEC, backtest=True)
+
+
 def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_export(raw_forecast(spark, sf_dir), TARGET_SPEC, backtest=False)
 

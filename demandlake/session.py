@@ -30,21 +30,6 @@ def build_session(app_name: str = "demandlake", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def sized_for(input_bytes: int) -> dict[str, str]:
-    """Settings for an input of this size, to pass to ``build_session``.
-
-    Shuffles start with a partition per 256 MB of input, which fits an executor core's
-    memory with room for sorting, and adaptive execution merges the ones that stay small
-    after map-side aggregation.
-    """
-    partitions = min(max(-(-input_bytes // (256 << 20)), 200), 100_000)
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-        "spark.sql.files.maxPartitionBytes": "256m" if input_bytes > 1 << 40 else "128m",
-    }
-
-
 def use_utc(spark: SparkSession) -> SparkSession:
     """Pin the one runtime setting results depend on, for sessions somebody else built."""
     spark.conf.set("spark.sql.session.timeZone", TIME_ZONE)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import csv as text_csv
+from collections import Counter
 from collections.abc import Mapping, Sequence
+from contextlib import suppress
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -60,19 +62,21 @@ def has_header(spark: SparkSession, path: str, fields: Sequence[str]) -> bool:
 
 
 def looks_like_header(sample: Sequence[str], fields: Sequence[str]) -> bool:
-    """All field names in the first line: header. None of them: no header. Some: ask the sniffer."""
-    if not sample:
+    """Whether the first of some lines names the fields.
+
+    It does if it holds each name once and nothing else, and doesn't if it holds none. A
+    line that holds some of them is compared with the lines below it by the sniffer; where
+    that finds no common delimiter, the line counts as data, and cleaning drops it if it is none.
+    """
+    names = Counter(sample[0].split(",")) if sample else Counter()
+    shared = names & Counter(fields)
+    if not shared:
         return False
-    first = sample[0].split(",")
-    if sorted(first) == sorted(fields):
+    if shared == names and names.total() == len(fields):
         return True
-    if not set(first) & set(fields):
-        return False
-    try:
-        return text_csv.Sniffer().has_header("\n".join(sample) + "\n")
-    except text_csv.Error:
-        # undecidable delimiter: the cleaning steps remove a stray header line
-        return False
+    with suppress(text_csv.Error):
+        return text_csv.Sniffer().has_header("\n".join([*sample, ""]))
+    return False
 
 
 def read_dataset(
@@ -89,8 +93,12 @@ def read_dataset(
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """An export, whose columns are named by its header line; every column is text."""
-    return spark.read.option("header", True).option("recursiveFileLookup", "true").csv(path)
+    """An export, whose columns are named by its header line; every column is text.
+
+    A part file with other columns, or the same in another order, fails the read.
+    """
+    options = {"header": "true", "enforceSchema": "false", "recursiveFileLookup": "true"}
+    return spark.read.options(**options).csv(path)
 
 
 def read_exports(

@@ -8,29 +8,17 @@ from pyspark.sql import functions as F
 from demandlake.functions.text import dataset_name
 from demandlake.operators.manifest import content_signature
 
-# Files up to this size are hashed whole, byte by byte; 64 MB is half of a usual input split.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
-
-def file_signatures(spark: SparkSession, path: str, whole_up_to: int = WHOLE_FILE_BYTES) -> DataFrame:
+def file_signatures(spark: SparkSession, path: str) -> DataFrame:
     """(path, dataset, size, signature) of every CSV file at or below ``path``.
 
-    A hash of all bytes has to see them in order, in one task, so it is used up to a size.
-    Larger files are split as usual and signed by their lines. A file that grows past the
-    limit changes its kind of signature, which reports the change it is.
+    Files of any size are split as usual and signed by their lines, whose order does not
+    matter. A file without content is not listed, as it is nowhere else.
     """
-    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
-    files = spark.read.format("binaryFile").options(**options).load(path)
-    whole = files.where(F.col("length") <= whole_up_to).select(
-        "path", F.col("length").alias("size"), F.md5("content").alias("signature")
-    )
     lines = (
-        spark.read.options(**options)
+        spark.read.options(recursiveFileLookup="true", pathGlobFilter="*.csv")
         .text(path)
-        .where(F.col("_metadata.file_size") > whole_up_to)
         .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), "value")
     )
-    split = content_signature(lines, ["path", "size"])
-    return whole.unionByName(split).select(
-        "path", dataset_name(F.col("path")).alias("dataset"), "size", "signature"
-    )
+    signed = content_signature(lines, ["path", "size"])
+    return signed.select("path", dataset_name(F.col("path")).alias("dataset"), "size", "signature")

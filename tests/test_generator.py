@@ -7,7 +7,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from demandlake.functions.sampling import binomial_quantiles, normal, poisson, poisson_quantiles, uniform
+from demandlake.functions.sampling import (
+    _log_factorial,
+    binomial,
+    binomial_quantiles,
+    normal,
+    poisson,
+    poisson_quantiles,
+    uniform,
+)
 from demandlake.operators import generator as g
 from demandlake.plans.generation import check_models, expected_series, generate, write_generated
 
@@ -267,9 +275,32 @@ def test_contradictions_are_named(spark):
         check_models(complete(spark, model("a")), plain_dependencies(spark, ("a", {}, "b", 0.5)))
     with pytest.raises(ValueError, match="match"):
         check_models(complete(spark, model("a"), model("b"), model("b")), plain_dependencies(spark, ("a", {}, "b", 0.5)))
+    for rate in (None, float("nan"), -1.0):
+        with pytest.raises(ValueError, match="rate"):
+            check_models(complete(spark, model(rate=rate)))
+    for factor in (None, float("nan"), -1.0):
+        with pytest.raises(ValueError, match="factor"):
+            check_models(complete(spark, model(daily=[1.0] * 6 + [factor])))
+    with pytest.raises(ValueError, match="twice"):
+        check_models(complete(spark, model("a"), model("a")))
+    for chance in (None, float("nan")):
+        with pytest.raises(ValueError, match="chance"):
+            check_models(complete(spark, model("a"), model("b")), plain_dependencies(spark, ("a", {}, "b", chance)))
     check_models(complete(spark, model("a"), model("b")), plain_dependencies(spark, ("a", {}, "b", 0.5)))
 
 
+def test_unknown_parameters_have_no_count(spark):
+    df = spark.createDataFrame([(1, 5.0, 10, 0.5), (2, None, None, 0.5), (3, float("nan"), 4, None)], "id long, rate double, n int, p double")
+    drawn = rows(df.select("id", poisson(F.col("rate"), 1, "id").alias("a"), binomial(F.col("n"), F.col("p"), 1, "id").alias("b")), "id")
+    assert drawn[1:] == [(2, None, None), (3, None, None)]
+    assert all(v >= 0 for v in drawn[0][1:])
+
+
+def test_log_factorials():
+    k = np.array([0.0, 1, 2, 10, 255, 256, 1e4, 1e9])
+    assert _log_factorial(k) == pytest.approx([math.lgamma(x + 1) for x in k], rel=1e-12)
+
+
 def test_metadata_problems(spark):
     entries = spark.createDataFrame(
         [("i1", "a", "x"), ("i1", "a", "x"), ("i1", "b", "y"), ("i2", "a", "z"), ("i3", "a", "1"), ("i3", "a", "2"), ("i3", "b", "1")],

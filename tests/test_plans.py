@@ -67,6 +67,22 @@ def test_gap_filling_reads_the_history_once(spark, sf):
     assert "Join" not in plan
 
 
+@pytest.mark.parametrize("name", ["gapfill_zero", "gapfill_median", "gapfill_future", "backtest_split"])
+def test_first_and_last_period_need_no_second_grouping(spark, sf, name):
+    plan = plan_of(entry.queries()[name](spark, sf))
+    # one to bucket the history, one to bring a series together where the buckets had its location too
+    assert plan.count("hashpartitioning") <= (1 if name == "backtest_split" else 2)
+
+
+def test_cutoff_looks_at_rows_with_their_duplicates(spark, sf):
+    from demandlake.operators.consolidate import cut_history
+
+    history = bucket(t.demand(spark, sf), "W", ["location"])
+    backtest = t.demand(spark, sf).select("timestamp", "metric")
+    plan = plan_of(cut_history(history, backtest))
+    assert plan.count("hashpartitioning") == 1  # the bucketing itself
+
+
 def test_ranking_shuffles_the_rows_once(spark, sf):
     """With a sort-merge join, as for counts too large to broadcast."""
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
