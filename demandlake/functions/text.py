@@ -41,6 +41,11 @@ def file_prefix(key: Column) -> Column:
     return F.substring_index(file_name(key), ".", 1)
 
 
+def delivered_file(path: Column) -> Column:
+    """The file or folder that was delivered: the path up to its first part named ``*.csv``."""
+    return F.regexp_extract(path, r"^(.*?\.csv)(?:/.*)?$", 1)
+
+
 def dataset_type(key: Column) -> Column:
     return (
         F.when(key.endswith(".related.csv"), RELATED_TIME_SERIES)

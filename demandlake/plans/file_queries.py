@@ -204,12 +204,16 @@ def consolidation_job(spark, sf):
 
 @query("ingest_stream", t.WEEKLY_SQL)
 def ingest_stream(spark, sf):
-    """Files arrive in two deliveries whose dates overlap, so the second is late history for the first."""
+    """Files arrive in two deliveries whose dates overlap, so the second is late history for the first.
+
+    A file of another group lies among them and is passed over.
+    """
     base = work_folder(spark, "arrivals")
     lines = _lines(spark, sf, F.col("l_linestatus").alias("delivery"))
     for delivery in ("F", "O"):
         part = lines.where(F.col("delivery") == delivery).drop("delivery")
-        csv.write_csv(part, f"{base}/train/{delivery}")
+        csv.write_csv(part, f"{base}/train/demand.{delivery}.csv", header=delivery == "F")
+        csv.write_csv(part, f"{base}/train/other.{delivery}.csv")
         start_ingest(
             spark,
             folder=f"{base}/train",
@@ -219,5 +223,6 @@ def ingest_stream(spark, sf):
             spec=LINE_SPEC,
             frequency="W",
             dimensions=["location"],
+            group="demand",
         ).awaitTermination()
     return spark.read.parquet(f"{base}/buckets").select("identifier", "location", "timestamp", "metric")

@@ -3,7 +3,9 @@
 A watermark would drop history that arrives late, which a full re-read would include.
 So raw rows are kept, and a batch rebuilds every month it has rows for from all raw rows of
 that month. Bucketed months never share a bucket: a bucket belongs to the month it
-starts in, and raw rows are stored by the month of their bucket.
+starts in, and raw rows are stored by the month of their bucket. Related series and item
+metadata are replaced by their newest batch. A file that is written again under its old
+name is not read again: the file source knows files by name.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from demandlake.functions.calendar import bucket_start, month_starting
-from demandlake.functions.text import dataset_type
+from demandlake.functions.text import dataset_type, delivered_file, file_prefix
 from demandlake.operators.bucket import bucket
 from demandlake.operators.clean import clean_input
 from demandlake.sources.tables import PARTITION, write_months
@@ -32,21 +34,34 @@ class SideTable:
     path: str
 
 
-def arrivals(spark: SparkSession, folder: str, specs: Sequence[DatasetSpec]) -> DataFrame:
+def arrivals(
+    spark: SparkSession, folder: str, specs: Sequence[DatasetSpec], group: str | None = None
+) -> DataFrame:
     """Lines of CSV files as they arrive, as text, with the type their file name gives them.
 
-    Lines are read with as many columns as the widest dataset has.
+    Lines are read with as many columns as the widest dataset has. With a ``group``, only
+    files of that dataset group are taken, whose names begin with it up to the first dot.
     """
     widest = max(specs, key=lambda spec: len(spec.attributes))
+    delivered = delivered_file(F.col("_metadata.file_path"))
+    own = F.lit(True) if group is None else file_prefix(delivered) == group
     return (
         spark.readStream.schema(widest.text_struct)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
         .csv(folder)
-        .withColumn("_type", dataset_type(F.col("_metadata.file_path")))
+        .withColumn("_type", dataset_type(delivered))
+        .where(own)
     )
 
 
+def without_header(lines: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Lines but those that hold the dataset's field names, each in any place, and nothing else."""
+    columns = [F.col(name) for name in spec.text_struct.fieldNames()]
+    names = F.sort_array(F.array(*columns)) == F.sort_array(F.array(*[F.lit(f) for f in spec.fields]))
+    return lines.where(~F.coalesce(names, F.lit(False)))
+
+
 def rebuild_batch(
     raw_path: str,
     bucket_path: str,
@@ -62,7 +77,8 @@ def rebuild_batch(
     """
 
     def cleaned_of(batch: DataFrame, kind: str, kind_spec: DatasetSpec) -> DataFrame:
-        return clean_input(batch.where(F.col("_type") == kind).drop("_type"), kind_spec)
+        lines = batch.where(F.col("_type") == kind).drop("_type")
+        return clean_input(without_header(lines, kind_spec), kind_spec)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         cleaned = cleaned_of(batch, TARGET_TIME_SERIES, spec).withColumn(
@@ -81,14 +97,9 @@ def rebuild_batch(
             write_months(rebuilt.withColumn(PARTITION, month_starting("timestamp")), bucket_path)
 
         for kind, side in (sides or {}).items():
-            (
-                cleaned_of(batch, kind, side.spec)
-                .withColumn("batch", F.lit(batch_id))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch")
-                .parquet(side.path)
-            )
+            if batch.where(F.col("_type") == kind).take(1):
+                newest = cleaned_of(batch, kind, side.spec).withColumn("batch", F.lit(batch_id))
+                newest.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(side.path)
 
     return process
 
@@ -103,15 +114,16 @@ def start_ingest(
     frequency: str,
     dimensions: Sequence[str] = (),
     sides: Mapping[str, SideTable] | None = None,
+    group: str | None = None,
 ) -> StreamingQuery:
     """Process everything that has arrived since the last run, then stop.
 
     ``sides`` says, per dataset type, where related series and item metadata go; types
-    that are not named there are passed over.
+    that are not named there are passed over, and so are files of groups other than ``group``.
     """
     specs = [spec, *[side.spec for side in (sides or {}).values()]]
     return (
-        arrivals(spark, folder, specs)
+        arrivals(spark, folder, specs, group)
         .writeStream.foreachBatch(
             rebuild_batch(raw_path, bucket_path, spec, frequency, dimensions, sides)
         )

@@ -172,6 +172,33 @@ def test_related_series_and_metadata_arrive_too(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "metadata")).drop("batch")) == [("i", "red", "small", "round", "heavy")]
 
 
+def test_groups_are_kept_apart_and_metadata_is_replaced(spark, tmp_path):
+    metadata = DatasetSpec.of("RETAIL", item_id="string", color="string")
+    sides = {ITEM_METADATA: SideTable(metadata, str(tmp_path / "metadata"))}
+
+    def run():
+        start_ingest(
+            spark, str(tmp_path / "train"), str(tmp_path / "raw"), str(tmp_path / "buckets"),
+            str(tmp_path / "checkpoint"), SPEC, "D", ["location"], sides, group="demand",
+        ).awaitTermination()
+        return rows(spark.read.parquet(str(tmp_path / "metadata")).drop("batch"))
+
+    arrive(tmp_path, "demand.csv", "i,2000-01-05,x,1")
+    arrive(tmp_path, "othergroup.csv", "i,2000-01-05,x,100")
+    arrive(tmp_path, "othergroup.metadata.csv", "i,green")
+    arrive(tmp_path, "demand.metadata.csv", "color,item_id", "item_id,color", "i,red", "j,blue")
+    assert run() == [("i", "red"), ("j", "blue")]
+    arrive(tmp_path, "demand.2.metadata.csv", "item_id,color", "i,yellow")
+    assert run() == [("i", "yellow")]
+    arrive(tmp_path, "demand.2.csv", "item_id,timestamp,location,demand", "i,2000-01-06,x,2")
+    assert run() == [("i", "yellow")]
+    found = spark.read.parquet(str(tmp_path / "buckets"))
+    assert rows(found.select("identifier", "timestamp", "metric")) == [
+        ("i", datetime(2000, 1, 5), 1.0),
+        ("i", datetime(2000, 1, 6), 2.0),
+    ]
+
+
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     raw, buckets = str(tmp_path / "raw"), str(tmp_path / "buckets")
     process = rebuild_batch(raw, buckets, SPEC, "M", ["location"])
