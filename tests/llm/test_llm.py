@@ -63,17 +63,17 @@ def by_id(df):
 # ------------------------------------------------------------------ simhash
 
 
-def print_of(text):
+def print_of(text, width=3):
     words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
     if not words:
         return 0
-    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    shingles = [b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
     hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def classes_of(prints):
-    """Smallest index reachable over pairs within three bits, by comparing all."""
+def classes_of(prints, distance=3):
+    """Smallest index reachable over pairs within some bits, by comparing all."""
     root = list(range(len(prints)))
 
     def top(i):
@@ -83,7 +83,7 @@ def classes_of(prints):
 
     for i, a in enumerate(prints):
         for j in range(i):
-            if (a ^ prints[j]).bit_count() <= 3:
+            if (a ^ prints[j]).bit_count() <= distance:
                 one, two = sorted((top(i), top(j)))
                 root[two] = one
     return [top(i) for i in range(len(prints))]
@@ -99,28 +99,56 @@ def test_near_duplicates_of_all_documents(spark):
         assert (found[doc]["fingerprint"], found[doc]["component_id"]) == (f"{bits:016x}", docs[root][0])
 
 
-@pytest.mark.parametrize("crowded", [2, 16, 10_000])
-def test_no_link_is_lost_in_crowded_blocks(spark, crowded):
+@pytest.mark.parametrize(("crowded", "distance"), [(2, 3), (16, 3), (10_000, 3), (64, 8), (10_000, 8)])
+def test_no_link_is_lost_in_crowded_blocks(spark, crowded, distance):
     rng = random.Random(3)
     bases = [rng.getrandbits(64) for _ in range(6)]
     prints = {0, 1, (1 << 64) - 1}
     while len(prints) < 500:
         bits = rng.choice(bases)
-        for _ in range(rng.randint(0, 9)):
+        for _ in range(rng.randint(0, 3 * distance)):
             bits ^= 1 << rng.randrange(64)
         prints.add(bits)
     prints = sorted(prints)
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    links = simhash.links(spark.createDataFrame([(s,) for s in signed], "bits long"), crowded=crowded)
-    assert all((((r["one"] ^ r["two"]) & (1 << 64) - 1).bit_count()) <= 3 for r in links.collect())
+    links = simhash.links(spark.createDataFrame([(s,) for s in signed], "bits long"), distance, crowded)
+    assert all((((r["one"] ^ r["two"]) & (1 << 64) - 1).bit_count()) <= distance for r in links.collect())
     found = {r["node"]: r["root"] for r in components.components(links).collect()}
     want = {}
-    for s, root in zip(signed, classes_of(prints), strict=True):
+    for s, root in zip(signed, classes_of(prints, distance), strict=True):
         want.setdefault(root, []).append(s)
     assert all(len({found.get(s, s) for s in group}) == 1 for group in want.values())
     assert len({found.get(s, s) for s in signed}) == len(want)
 
 
+def test_links_are_fewer_than_fingerprints():
+    rng = np.random.default_rng(5)
+    far = rng.integers(0, 1 << 62, 3000)
+    near = far[0] ^ (1 << rng.integers(0, 62, 3000))
+    for bits in (far, np.unique(near), np.unique(np.concatenate([far, near])), far[:1], far[:0]):
+        one, two = simhash.linked_in(bits, 3)
+        assert len(one) == len(two) <= max(0, len(bits) - 1)
+        assert (np.bitwise_count((one ^ two).view(np.uint64)) <= 3).all()
+
+
+def test_most_copies_by_words_are_within_reach(spark):
+    """Of documents that share 0.8 of their five-word shingles with an earlier one, most go; strangers stay."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, copies = [], []
+    for i in range(300):
+        words = rng.choices(vocabulary, k=rng.randint(120, 400))
+        rows.append((2 * i, " ".join(words)))
+        if i % 2:
+            for at in rng.sample(range(len(words)), max(1, len(words) // 100)):
+                words[at] = "changed"
+            rows.append((2 * i + 1, " ".join(words)))
+            copies.append(2 * i + 1)
+    kept = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {2 * i for i in range(300)} <= kept
+    assert len(kept & set(copies)) <= 0.3 * len(copies)
+
+
 def test_components_of_a_chain_and_of_nothing(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(5, 5), (None, 3), (100, 200), (200, 100)], "a long, b long")
     found = {r["node"]: r["root"] for r in components.components(chain).collect()}
@@ -501,7 +529,7 @@ def test_pipeline_like_its_stages_by_hand(spark, coder):
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rejected = {r["doc_id"] for r in QUERIES["op6_quality"](spark, sf).where("predicted = 0").collect()}
     left = [d for d in sorted(docs) if d not in rejected]
-    roots = classes_of([print_of(docs[d]["text"]) for d in left])
+    roots = classes_of([print_of(docs[d]["text"], 5) for d in left], 8)
     left = [d for i, d in enumerate(left) if roots[i] == i]
     items = [r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     left = [d for d in left if not any(i in docs[d]["text"] for i in items)]
