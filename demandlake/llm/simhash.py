@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlake.llm.components import components
+from demandlake.llm.copies import keep_one  # noqa: F401  (verified copies; fingerprints of this module take no part)
 from demandlake.llm.rows import Batches, in_batches, per_batch, written
 
 SHINGLE_WORDS = 3
@@ -24,12 +25,6 @@ DISTANCE = 3
 SEED = 42
 # A block shared by more fingerprints than this is refined with further bits.
 CROWDED = 2048
-# What ``keep_one`` takes for copies: five words and a similarity of 0.8. Two sets that similar have an
-# angle of 27 degrees between them, which is 9.7 of 64 bits on average. Eight bits leave blocks of 12 to
-# 14 bits to join on, and put a document within reach of a stranger once in 3.6 billion.
-COPY_WORDS = 5
-COPY_DISTANCE = 8
-COPY_CROWDED = 1 << 16
 _SLAB = 1 << 16
 
 
@@ -276,20 +271,3 @@ def near_duplicates(
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(smallest, "root").select("bits", "component_id")
     return prints.join(classes, "bits").select("doc_id", as_hex(F.col("bits")).alias("fingerprint"), "component_id")
-
-
-def keep_one(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    words: int = COPY_WORDS,
-    distance: int = COPY_DISTANCE,
-) -> DataFrame:
-    """The rows of ``docs`` whose identifier is the smallest of its component.
-
-    Rows that repeat this identifier all stay, as do rows without an identifier in
-    components that have none.
-    """
-    found = near_duplicates(docs, id_col, text_col, words, distance, COPY_CROWDED)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("__kept")), "left_semi")

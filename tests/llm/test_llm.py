@@ -149,6 +149,58 @@ def test_most_copies_by_words_are_within_reach(spark):
     assert len(kept & set(copies)) <= 0.3 * len(copies)
 
 
+def sets_of(texts, width=5):
+    found = []
+    for text in texts:
+        words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+        found.append({tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set())
+    return found
+
+
+def firsts_by_similarity(texts, least=0.8):
+    """Indices that are the smallest of what is reachable over pairs of similar shingle sets, by all pairs."""
+    sets = sets_of(texts)
+    holders, common = {}, {}
+    for i, own in enumerate(sets):
+        for shingle in own:
+            for j in holders.setdefault(shingle, []):
+                common[j, i] = common.get((j, i), 0) + 1
+            holders[shingle].append(i)
+    root = list(range(len(sets)))
+    empty = [i for i, own in enumerate(sets) if not own]
+    pairs = [(a, b) for (a, b), n in common.items() if n / (len(sets[a]) + len(sets[b]) - n) >= least]
+    for a, b in pairs + list(zip(empty, empty[1:])):
+        a, b = root[a], root[b]
+        if a != b:
+            root = [min(a, b) if r in (a, b) else r for r in root]
+    return {i for i, r in enumerate(root) if r == i}
+
+
+def test_copies_are_verified_by_similarity(spark):
+    """Exactly the documents with an earlier one of their group go: no near fingerprint of a stranger, no far one of a copy."""
+    frame = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    docs = sorted(map(tuple, frame.collect()))
+    want = {docs[i][0] for i in firsts_by_similarity([text for _, text in docs])}
+    assert {r["doc_id"] for r in simhash.keep_one(frame).collect()} == want
+    assert len(want) < len(docs)
+
+
+def test_copies_that_are_not_like_the_smallest_of_their_bucket(spark):
+    """A chain of slow changes under one passage: buckets hold sets that are similar to some members only."""
+    rng = random.Random(12)
+    passage = [f"p{i}" for i in range(60)]
+    own = [f"o{i}" for i in range(60)]
+    texts = []
+    for i in range(120):
+        for at in rng.sample(range(60), rng.choice([0, 1, 2, 60])):
+            own[at] = f"o{i}-{at}"
+        texts.append(" ".join(passage + own))
+    want = firsts_by_similarity(texts)
+    assert 1 < len(want) < len(texts)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.keep_one(frame).collect()} == want
+
+
 def test_components_of_a_chain_and_of_nothing(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(5, 5), (None, 3), (100, 200), (200, 100)], "a long, b long")
     found = {r["node"]: r["root"] for r in components.components(chain).collect()}
