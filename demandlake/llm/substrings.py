@@ -5,7 +5,9 @@ so equal windows have equal anchors, and the windows that share one form a conte
 Anchors that occur once cannot lie in a repeated window. Contexts equal to an earlier one
 repeat as a whole; the earliest of contexts that differ but share an anchor are the
 reference of one shard: they are put into a suffix automaton in order of document and
-position, which tells at each word the longest match with anything before it.
+position, which tells at each word the longest match with anything before it. Shards are
+bounded: contexts of anchors that are frequent, or have too many contexts, are compared
+window by window with the earliest occurrence of each window, which is an aggregate.
 
 Shards are routed to the documents' contexts by anchor. Broadcasting automata of the
 whole corpus to every document would read the corpus once per shard.
@@ -13,6 +15,7 @@ whole corpus to every document would read the corpus once per shard.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from array import array
 
@@ -33,6 +36,8 @@ FREQUENT = 8
 # Occurrences of a frequent anchor are spread over so many groups.
 _SALTS = 64
 _MOST_FREQUENT = 50_000
+# Contexts that an automaton takes; anchors with more that are to be compared are spread as well.
+LARGEST = 1024
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -226,12 +231,19 @@ def repeated_spans(shard: list[list[bytes]], span: int) -> list[tuple[int, int,
     return found
 
 
+def _bounded(kept: DataFrame) -> DataFrame:
+    """``kept`` with all open contexts of an anchor ``spread`` if they are more than an automaton takes."""
+    large = kept.where("open AND NOT spread").groupBy("anchor").count().where(F.col("count") > LARGEST)
+    large = large.select("anchor", F.lit(True).alias("large"))
+    return kept.join(large, "anchor", "left").withColumn("spread", F.col("spread") | F.coalesce("large", F.lit(False))).drop("large")
+
+
 def _cut_contexts(docs: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
-    """The words of open contexts; those of spread anchors window by window, keyed by their content."""
+    """The words of open contexts, keyed by their anchor; of ``spread`` ones a digest of 128 bits for each window."""
 
     def make():
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-            keys, owners, starts, texts = [], [], [], []
+            keys, owners, starts, texts, spread = [], [], [], [], []
             for doc, text, units in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "units")), strict=True):
                 crc, words = _crc24(text), text.split()
                 for unit in units:
@@ -241,23 +253,45 @@ def _cut_contexts(docs: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
                     pieces = [(i, span) for i in range(first, first + many)] if unit["spread"] else [(first, many + span - 1)]
                     for start, size in pieces:
                         piece = b" ".join(words[start : start + size])
-                        keys.append(xxhash.xxh64_intdigest(piece) >> 1 if unit["spread"] else unit["anchor"])
+                        keys.append(unit["anchor"])
                         owners.append(doc)
                         starts.append(start << 30 | crc)
-                        texts.append(piece)
+                        texts.append(hashlib.blake2b(piece, digest_size=16).digest() if unit["spread"] else piece)
+                        spread.append(unit["spread"])
             return pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(owners, pa.int64()), pa.array(starts, pa.int64()), pa.array(texts, pa.binary())],
-                ["shard", "doc", "pos", "words"],
+                [
+                    pa.array(keys, pa.int64()),
+                    pa.array(owners, pa.int64()),
+                    pa.array(starts, pa.int64()),
+                    pa.array(texts, pa.binary()),
+                    pa.array(spread, pa.bool_()),
+                ],
+                ["shard", "doc", "pos", "words", "spread"],
             )
 
         return apply
 
     units = wanted.groupBy("doc").agg(F.collect_list(F.struct("anchor", "pos", "spread")).alias("units"))
-    return per_batch(docs.select("doc", "text").join(units, "doc"), make, "shard long, doc long, pos long, words binary")
+    return per_batch(
+        docs.select("doc", "text").join(units, "doc"), make, "shard long, doc long, pos long, words binary, spread boolean"
+    )
+
+
+def _later_windows(windows: DataFrame, span: int) -> DataFrame:
+    """Windows that occur earlier, in order of document and position.
+
+    The earliest of each is an aggregate, combined before the shuffle; it is written, so that
+    adaptive execution can split the join at a window that very many documents hold.
+    """
+    place = F.struct("doc", "pos")
+    firsts = windows.groupBy("words").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least < most")
+    firsts = written(firsts.select("words", "least"), "firsts")
+    later = windows.join(firsts, "words").where(place != F.col("least"))
+    return later.select("doc", "pos", (F.shiftright("pos", 30) + F.lit(span)).alias("end"))
 
 
 def _compared(pieces: DataFrame, span: int) -> DataFrame:
-    """Repeats among open contexts, shard by shard in order of document and position."""
+    """Repeats among open contexts, shard by shard in order of document and position. A shard has ``LARGEST`` at most."""
 
     def run(batches: Batches) -> Batches:
         places: list[tuple[int, int]] = []
@@ -312,7 +346,9 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
         F.shiftleft(first, 30).bitwiseOR(crc).alias("pos"),
         (first + F.shiftright("pos", 24).bitwiseAND(F.lit(63)) + F.lit(span - 1)).alias("end"),
     )
-    return whole.unionByName(_compared(_cut_contexts(narrow, kept.where("open"), span), span))
+    pieces = written(_cut_contexts(narrow, _bounded(kept).where("open"), span), "pieces")
+    compared = _compared(pieces.where("NOT spread").drop("spread"), span)
+    return whole.unionByName(compared).unionByName(_later_windows(pieces.where("spread"), span))
 
 
 def deduplicate(docs: DataFrame, span: int = SPAN) -> DataFrame:

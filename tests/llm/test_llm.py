@@ -441,6 +441,31 @@ def test_substrings_like_brute_force(spark, monkeypatch, frequent):
     assert found == without_repeats(docs, 20)
 
 
+@pytest.mark.parametrize("frequent", [8, 1_000_000])
+def test_a_common_passage_fills_no_automaton(spark, monkeypatch, frequent):
+    """A passage in all of many different documents, found frequent by a sample or missed by it."""
+    monkeypatch.setattr(substrings, "FREQUENT", frequent)
+    monkeypatch.setattr(substrings, "LARGEST", 100)
+    rng = random.Random(14)
+    passage = [f"p{i}" for i in range(50)]
+    docs = [
+        (doc, " ".join([f"{doc}x{i}" for i in range(rng.randint(5, 40))] + passage + [f"{doc}y{i}" for i in range(30)]))
+        for doc in range(600)
+    ]
+    held = []
+    real = substrings._compared
+
+    def seen(frame, span):
+        held.append(frame.groupBy("shard").count().agg(F.max("count")).first()[0] or 0)
+        return real(frame, span)
+
+    monkeypatch.setattr(substrings, "_compared", seen)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substrings.kept_digests(frame).collect()}
+    assert found == without_repeats(docs, 20)
+    assert len(held) == 1 and held[0] <= 100
+
+
 def test_substrings_of_odd_rows(odd):
     rows = substrings.kept_digests(odd.unionByName(odd)).collect()
     assert len(rows) == 2 * len(ODD)
