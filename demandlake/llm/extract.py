@@ -25,8 +25,11 @@ BLOCK_TAGS = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section "
     "summary table tbody td tfoot th thead title tr ul".split()
 )
-# Elements whose content is never text of the page.
-SILENT_TAGS = "script style noscript template textarea select svg math iframe object canvas audio video head title button".split()
+# Elements whose content is never text of the page. Those of the first kind run to the end if they are not closed, as in
+# browsers; those of the second are left out up to their own end tag, and without one only the tag is. A head needs no
+# entry: what may stand in it has no text beside them, and anything else ends it.
+RAW_TAGS = "script style template textarea iframe title".split()
+SILENT_TAGS = "noscript select svg math object canvas audio video button".split()
 # Elements without content, which are never closed.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN_TAGS = frozenset(["article", "main"])
@@ -43,8 +46,9 @@ SIDE_NAMES = frozenset(
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(" + "|".join(SILENT_TAGS) + r")(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    r"|<(?P<raw>" + "|".join(RAW_TAGS) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
+    r"|<(?P<end>/?)(?P<silent>" + "|".join(SILENT_TAGS) + r")(?=[\s/>])(?P<rest>(?:[^>\"']|\"[^\"<]*\"|'[^'<]*')*|[^>]*)>"
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
@@ -88,6 +92,29 @@ def part_of(tag: str, attributes: str) -> int:
     return 1 if tag in MAIN_TAGS or names & MAIN_NAMES else 0
 
 
+def tokens(page: str) -> list[tuple[int, int, re.Match]]:
+    """Start, end and match of what is not text, in order. A silent element with an end tag of its own is one token."""
+    found: list[tuple[int, int, re.Match]] = []
+    open_at: dict[str, list[int]] = {}
+    for match in _TOKEN.finditer(page):
+        start, end = match.span()
+        if match["silent"]:
+            name = match["silent"].lower()
+            opened = open_at.setdefault(name, [])
+            if not match["end"]:
+                if not (name in ("svg", "math") and match["rest"].endswith("/")):
+                    opened.append(len(found))
+            elif opened:
+                at = opened.pop()
+                start, _, match = found[at]
+                del found[at:]
+                for others in open_at.values():  # what it holds is gone with it
+                    while others and others[-1] >= at:
+                        others.pop()
+        found.append((start, end, match))
+    return found
+
+
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in order."""
     found: list[Block] = []
@@ -125,24 +152,26 @@ def blocks(page: str) -> list[Block]:
             linked.append(text + " ")
 
     at = 0
-    for match in _TOKEN.finditer(page):
-        if match.start() > at:
-            add(page[at : match.start()])
-        at = match.end()
-        tag = match[3]
+    for start, stop, match in tokens(page):
+        if start > at:
+            add(page[at:start])
+        at = stop
+        tag = match["tag"]
         if tag is None:
-            if match[1] and match[1].lower() in BLOCK_TAGS:
+            if match["raw"] and match["raw"].lower() in BLOCK_TAGS:
                 end()
             continue
         tag = tag.lower()
         if tag == "a":
-            in_link = 0 if match[2] else 1
+            in_link = 0 if match["close"] else 1
         elif tag == "br":
             add(" ")
+        elif tag == "head":
+            end()
         elif tag in BLOCK_TAGS:
             end()
             in_link = 0
-            if match[2]:
+            if match["close"]:
                 for depth in range(len(enclosing) - 1, -1, -1):
                     if enclosing[depth][0] == tag:
                         del enclosing[depth:]
@@ -152,7 +181,7 @@ def blocks(page: str) -> list[Block]:
                     # an open paragraph ends where another block begins, an item where the next one does
                     if enclosing and enclosing[-1][0] in ("p", tag):
                         enclosing.pop()
-                enclosing.append((tag, part_of(tag, match[4])))
+                enclosing.append((tag, part_of(tag, match["attributes"])))
     if at < len(page):
         add(page[at:])
     end()

@@ -357,6 +357,26 @@ def test_main_text_of_pages(spark):
     assert found == {1: (text, len(text)), 2: ("", 0), None: ("", 0), 4: ("", 0)}
 
 
+def texts_of(page):
+    return [b.text for b in extract.blocks(page)]
+
+
+def test_elements_without_an_end_tag_swallow_nothing():
+    text = "<p>Main text</p><p>More</p>"
+    assert texts_of(f"<head><title>t</title><body><article>{text}") == ["Main text", "More"]
+    assert texts_of(f"<head><meta charset=x><title>t</title><style>p {{}}</style>{text}") == ["Main text", "More"]
+    for tag in ("<svg/>", "<svg class='a' />", "<math/>", "<button>", "<object data=x>", "<video src='a>b'>", "<noscript>", "<SELECT>"):
+        assert texts_of(f"<article><p>A</p>{tag}{text}") == ["A", "Main text", "More"]
+        assert texts_of(f"<article><p>A</p>{tag}{text}<button>B</button>" + "<svg><text>C</text></svg><p>D") == ["A", "Main text", "More", "D"]
+    nested = "<object>a<object>b</object><video>c</object>"
+    assert texts_of(f"<p>A</p>{nested}{text}") == ["A", "Main text", "More"]
+    assert texts_of(f"<p>A</p></svg></button>{text}") == ["A", "Main text", "More"]
+    assert texts_of(f"<p>A</p><svg><svg/><text>b</text></svg>{text}") == ["A", "Main text", "More"]
+    for tag in extract.RAW_TAGS:
+        assert texts_of(f"<p>A</p><{tag}>{text}") == ["A"]
+        assert texts_of(f"<p>A</p><{tag}><p>B</p></{tag} >{text}") == ["A", "Main text", "More"]
+
+
 def test_articles_of_all_pages(spark):
     rows = QUERIES["op5_extract"](spark, SF).collect()
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
