@@ -1,4 +1,9 @@
-"""Running totals and ranks."""
+"""Running totals and ranks, for keys of any size.
+
+Rows are sorted into slices by key and order, so a key that holds all rows is spread over all
+slices. What a slice holds of a key is one number there, and those numbers are added up
+from slice to slice; only rows of one slice and key are ever walked through together.
+"""
 
 from __future__ import annotations
 
@@ -8,56 +13,80 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from demandlake.session import work_folder
+
+# A running row number holds the task in its upper bits and the row of the task in these.
+_ROW_BITS = 33
+_PART, _ROW, _TIE = "_part", "_row", "_tie"
+
+
+def slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """``df`` sorted into slices: ``_part`` is (slice, keys), ``_row`` the place of a row in its slice.
+
+    Rows that compare alike are told apart by a number of their own, so that even equal rows
+    spread. The slices are written to the shared folder: their borders are drawn from a
+    sample and must be the same for everything that follows.
+    """
+    by = [F.col(f"`{k}`").asc() for k in keys] + [*order, F.col(_TIE).asc()]
+    placed = (
+        df.withColumn(_TIE, F.monotonically_increasing_id())
+        .repartitionByRange(*by)
+        .sortWithinPartitions(*by)
+        .drop(_TIE)
+        .withColumn(_ROW, F.monotonically_increasing_id())
+    )
+    path = work_folder(df.sparkSession, "slices")
+    placed.write.parquet(path)
+    stored = df.sparkSession.read.schema(placed.schema).parquet(path)
+    # a struct is never null itself, so nulls inside it join, and its one partitioning
+    # serves joins and windows
+    part = F.struct(F.shiftright(_ROW, _ROW_BITS).alias("slice"), *[F.col(f"`{k}`") for k in keys])
+    return stored.withColumn(_PART, part).withColumn(_ROW, F.col(_ROW).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+
+
+def _earlier(keys: Sequence[str]) -> WindowSpec:
+    """For one row per slice and key: the slices before this one that hold rows of the key."""
+    own = Window.partitionBy(*[F.col(f"{_PART}.`{k}`") for k in keys]).orderBy(f"{_PART}.slice")
+    return own.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], position: str = "position") -> DataFrame:
+    """``df`` with the number of each row inside its key, from 1, in the given order.
+
+    The order of rows that compare alike is left open; null keys are a key.
+    """
+    keys = list(keys)
+    sliced = slices(df, keys, order)
+    counted = sliced.groupBy(_PART).agg(F.min(_ROW).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(_earlier(keys)), F.lit(0))
+    shifted = counted.select(_PART, (before - F.col("_first") + 1).alias("_shift"))
+    return sliced.join(shifted, _PART).select(*_all(df), (F.col(_ROW) + F.col("_shift")).alias(position))
+
 
 def running_total(
     df: DataFrame, keys: Sequence[str], order: str = "timestamp", value: str = "metric"
 ) -> DataFrame:
-    """Cumulative ``value`` per series, for frames with one row per series and period."""
-    window = (
-        Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return df.withColumn("cumulative", F.sum(value).over(window))
+    """Cumulative ``value`` per series, for frames with one row per series and period.
+
+    Nulls add nothing, and the total is null as long as there was nothing else.
+    """
+    keys = list(keys)
+    sliced = slices(df, keys, [F.col(f"`{order}`").asc()])
+    sums = sliced.groupBy(_PART).agg(F.sum(value).alias("_sum"))
+    before = sums.select(_PART, F.sum("_sum").over(_earlier(keys)).alias("_before"))
+    within = Window.partitionBy(_PART).orderBy(_ROW).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = F.sum(value).over(within)
+    zero = F.lit(0)
+    total = F.coalesce(F.coalesce("_before", zero) + here, "_before")
+    return sliced.join(before, _PART).withColumn("cumulative", total).select(*_all(df), "cumulative")
 
 
 def rank_newest_first(
     df: DataFrame, keys: Sequence[str], moment: str, tie: str, rank: str = "position"
 ) -> DataFrame:
-    """1 for the newest row of each key, without sorting a whole key in one task.
-
-    A key may hold any share of the rows, so rows are ranked inside (key, minute) and moved
-    by the number of newer rows of the same key, which is counted beforehand: those of
-    later days, at most one number per key and day, and those of later minutes of the day.
-    """
-    keys = list(keys)
-    # a struct is never null itself, so nulls inside it join, and its one partitioning
-    # serves the join and the window
-    minute = F.date_trunc("minute", F.col(moment)).alias("_minute")
-    blocks = df.withColumn("_block", F.struct(*keys, minute))
-    minutes = blocks.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows"))
-    in_block = [f"_block.{k}" for k in keys]
-    minutes = minutes.withColumn(
-        "_day", F.struct(*in_block, F.to_date("_block._minute").alias("_date"))
-    )
-    later_days = Window.partitionBy(*[f"_day.{k}" for k in keys]).orderBy(F.col("_day._date").desc())
-    later_minutes = Window.partitionBy("_day").orderBy(F.col("_block._minute").desc())
-    days = (
-        minutes.groupBy("_day")
-        .agg(F.sum("_rows").alias("_rows"))
-        .select("_day", _before("_rows", later_days).alias("_on_later_days"))
-    )
-    ahead = (
-        minutes.withColumn("_on_this_day", _before("_rows", later_minutes))
-        .join(days, "_day")
-        .select("_block", (F.col("_on_later_days") + F.col("_on_this_day")).alias("_ahead"))
-    )
-    within = Window.partitionBy("_block").orderBy(F.col(moment).desc(), F.col(tie).desc())
-    return (
-        blocks.join(ahead, "_block")
-        .withColumn(rank, F.row_number().over(within) + F.col("_ahead"))
-        .select(*df.columns, rank)
-    )
+    """1 for the newest row of each key, without sorting a whole key in one task."""
+    return positions(df, keys, [F.col(f"`{moment}`").desc(), F.col(f"`{tie}`").desc()], rank)
 
 
-def _before(value: str, window: WindowSpec) -> Column:
-    """Sum of ``value`` over the rows before this one."""
-    return F.coalesce(F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+def _all(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]

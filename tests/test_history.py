@@ -147,6 +147,29 @@ def test_running_total(spark):
     assert [r.cumulative for r in totals.orderBy("timestamp").collect()] == [0, 1, 3, 6, 10]
 
 
+def test_running_total_over_many_slices_and_nulls(spark):
+    rng = random.Random(5)
+    points = [
+        (rng.choice(["hot", "hot", "hot", "b", None]), START + timedelta(days=i), rng.choice([None, float(rng.randint(0, 9))]))
+        for i in range(600)
+    ]
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    held = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        totals = running_total(spark.createDataFrame(points, SCHEMA), ["identifier"])
+        found = {(r.identifier, r.timestamp): r.cumulative for r in totals.collect()}
+    finally:
+        spark.conf.set(conf, held)
+    expected, sums = {}, {}
+    for key, moment, value in points:
+        if value is not None:
+            sums[key] = sums.get(key, 0.0) + value
+        expected[key, moment] = sums.get(key)
+    assert found == expected
+    assert running_total(spark.createDataFrame([], SCHEMA), ["identifier"]).count() == 0
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_rank_with_a_hot_key_ties_and_nulls(spark, seed):
     rng = random.Random(seed)

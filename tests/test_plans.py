@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 
 from demandlake.operators.bucket import bucket
 from demandlake.operators.clean import clean_input
+from demandlake.operators.running import positions, slices
 from demandlake.plans import tables as t
 
 
@@ -83,19 +84,45 @@ def test_cutoff_looks_at_rows_with_their_duplicates(spark, sf):
     assert plan.count("hashpartitioning") == 1  # the bucketing itself
 
 
-def test_ranking_shuffles_the_rows_once(spark, sf):
-    """With a sort-merge join, as for counts too large to broadcast."""
+def shares(df):
+    """Rows of each slice of a frame sorted into slices."""
+    return [r["count"] for r in df.groupBy("_part.slice").count().collect()]
+
+
+@pytest.mark.parametrize("moments", [40_000, 1])
+def test_one_key_spreads_over_slices(spark, moments):
+    """One key for all rows, and even one moment: no task gets more than twice the median."""
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    df = spark.range(40_000).select(F.lit("all").alias("key"), (F.col("id") % moments).alias("moment"), "id")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        held = shares(slices(df, ["key"], [F.col("moment").desc()]))
+        ranked = positions(df, ["key"], [F.col("moment").desc()])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(held) == 8 and sum(held) == 40_000
+    assert max(held) <= 2 * sorted(held)[4]
+    numbers = ranked.agg(F.min("position"), F.max("position"), F.count_distinct("position")).first()
+    assert tuple(numbers) == (1, 40_000, 40_000)
+    assert ranked.where(F.col("position") == 1).first()["moment"] == moments - 1
+
+
+@pytest.mark.parametrize("name", ["run_history", "cumulative"])
+def test_sliced_rows_move_once_more_at_most(spark, sf, name):
+    """With a sort-merge join, as for counts too large to broadcast: one partitioning of the slices' rows."""
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(entry.queries()["run_history"](spark, sf))
+        plan = plan_of(entry.queries()[name](spark, sf))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    # the partitioning made for the join also serves the ranking above it
-    assert plan.lstrip().startswith("AdaptiveSparkPlan")
     above_the_join = plan[: plan.index("SortMergeJoin")]
-    assert "row_number()" in above_the_join
     assert count(above_the_join, "Exchange") == 0
+    # the rows, their counts per slice and key, and those counts by key
+    assert plan.count("hashpartitioning") <= 4 and count(plan, "rangepartitioning") == 0
 
 
 def test_baseline_reads_the_history_once(spark, sf):
