@@ -13,6 +13,7 @@ from demandlake.llm import (
     bpe,
     decontaminate,
     extract,
+    importance,
     langid,
     quality,
     secrets,
@@ -81,6 +82,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(_table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document in a draw that follows the benchmark."""
+    return importance.importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -94,6 +100,7 @@ QUERIES: dict[str, Query] = {
         op8_secrets,
         op9_neighbours,
         op10_bpe,
+        op11_importance,
     )
 }
 
@@ -209,4 +216,57 @@ FROM texts t LEFT JOIN listed ON listed.doc_id = t.doc_id
 """
 
 
-ORACLES: dict[str, str] = {"op3_warc": _WARC, "op7_substrings": _SUBSTRINGS, "op8_secrets": _secrets_sql()}
+# CRC-32 by table: the table's own rows, and the checksum of a list of bytes in a query that joins it.
+_CRC_TABLE = """crc AS (
+    SELECT list(c ORDER BY i) AS crc FROM (
+        SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i) AS c
+        FROM range(256) AS r(i)))"""
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a text that is not empty."""
+    return f"""xor(4294967295, list_reduce(
+        list_transform(range(octet_length(encode({text}))), lambda i: CAST('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT)),
+        lambda c, b: xor(c >> 8, crc[CAST(xor(c, b) & 255 AS INTEGER) + 1]), CAST(4294967295 AS BIGINT)))"""
+
+
+_IMPORTANCE = f"""
+WITH {_CRC_TABLE},
+texts AS (
+    SELECT true AS target, item_id AS id, text FROM benchmark UNION ALL SELECT false, doc_id, text FROM documents),
+words AS (
+    SELECT target, id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM texts),
+runs AS (
+    SELECT target, id, array_to_string(w[i:i + k], ' ') AS feature
+    FROM (SELECT target, id, w, k, unnest(range(1, CAST(len(w) - k AS BIGINT) + 1)) AS i FROM words, range(3) AS r(k))),
+found AS (SELECT feature, {_crc("feature")} % {importance.BUCKETS} AS bucket FROM (SELECT DISTINCT feature FROM runs), crc),
+features AS (SELECT target, id, bucket FROM runs JOIN found USING (feature)),
+sums AS (SELECT count(*) FILTER (WHERE NOT target) AS all_docs, count(*) FILTER (WHERE target) AS all_target FROM features),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((CAST(t + 1 AS DOUBLE) * (all_docs + {importance.BUCKETS}))
+                                        / (CAST(s + 1 AS DOUBLE) * (all_target + {importance.BUCKETS})))) AS BIGINT) AS gain
+    FROM (SELECT bucket, count(*) FILTER (WHERE NOT target) AS s, count(*) FILTER (WHERE target) AS t FROM features GROUP BY 1), sums),
+weights AS (
+    SELECT id, count(*) AS n_features, sum(gain) AS weight FROM features JOIN gains USING (bucket) WHERE NOT target GROUP BY 1),
+scored AS (
+    SELECT d.id AS doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+           CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{importance.SEED}:' || d.id), 1, 8) AS BIGINT) + 0.5)
+                                                         / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+    FROM words d LEFT JOIN weights ON weights.id = d.id WHERE NOT target),
+places AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+    FROM scored WHERE n_words >= {importance.LEAST_WORDS})
+SELECT s.doc_id, n_features, weight, score, CASE WHEN place <= {importance.SHARE} * n // 100 THEN place END AS rank
+FROM scored s LEFT JOIN places ON places.doc_id = s.doc_id
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op3_warc": _WARC,
+    "op7_substrings": _SUBSTRINGS,
+    "op8_secrets": _secrets_sql(),
+    "op11_importance": _IMPORTANCE,
+}
