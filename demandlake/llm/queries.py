@@ -15,6 +15,7 @@ from demandlake.llm import (
     extract,
     importance,
     langid,
+    pii,
     quality,
     secrets,
     simhash,
@@ -87,6 +88,11 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return pii.personal_data(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -101,6 +107,7 @@ QUERIES: dict[str, Query] = {
         op9_neighbours,
         op10_bpe,
         op11_importance,
+        op12_pii,
     )
 }
 
@@ -264,9 +271,69 @@ FROM scored s LEFT JOIN places ON places.doc_id = s.doc_id
 """
 
 
+def _pii_sql() -> str:
+    digits = "regexp_replace(value, '[^0-9]', '', 'g')"
+    luhn = """list_sum(list_transform(range(length(digits)), lambda i:
+        CASE WHEN i % 2 = 0 THEN CAST(substr(digits, length(digits) - i, 1) AS INTEGER)
+             ELSE CAST(substr('0246813579', CAST(substr(digits, length(digits) - i, 1) AS INTEGER) + 1, 1) AS INTEGER) END)) % 10 = 0"""
+    plain = "replace(value, ' ', '')"
+    turned = f"substr({plain}, 5) || substr({plain}, 1, 4)"
+    # a letter counts ten to thirty-five, and moves what stood before it by two places
+    mod_97 = f"""list_reduce(list_transform(range(length({plain})), lambda i: strpos('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', substr({turned}, CAST(i + 1 AS INTEGER), 1)) - 1),
+        lambda r, x: (r * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97, CAST(0 AS BIGINT)) = 1"""
+    ranks = {kind: i for i, kind in enumerate(pii.KINDS)}
+    priors = " ".join(f"WHEN {ranks[k]} THEN {p}" for k, p in pii.PRIORS.items())
+    speaks = " ".join(f"WHEN {ranks[k]} THEN regexp_matches(near, '{pii._word(w)}')" for k, w in pii.CONTEXT.items())
+    ssn = "value[1:3] NOT IN ('000', '666') AND value < '9' AND value[5:6] <> '00' AND value[8:11] <> '0000'"
+    apart = """NOT EXISTS (SELECT 1 FROM {others} o WHERE o.doc_id = s.doc_id AND o.start < s.stop AND s.start < o.stop)"""
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+{_matched("email_at", pii.EMAIL, 0, 0)},
+{_matched("ip_at", pii.IP, 0, 0)},
+{_matched("card_at", pii.CARD, 0, 0)},
+{_matched("phone_at", pii.PHONE, 0, 0)},
+{_matched("iban_at", pii.IBAN, 0, 0)},
+{_matched("ssn_at", pii.SSN, 0, 0)},
+cards AS (SELECT *, length(digits) AS many FROM (SELECT *, {digits} AS digits FROM card_at) WHERE length(digits) BETWEEN 13 AND 19 AND {luhn}),
+proposed AS (
+    SELECT doc_id, {ranks["email"]} AS rank, start, stop FROM email_at
+    UNION ALL SELECT doc_id, {ranks["ip"]}, start, stop FROM ip_at
+        WHERE list_bool_and(list_transform(string_split(value, '.'), lambda p: length(ltrim(p, '0')) < 4 AND CAST('0' || right(p, 3) AS INTEGER) <= 255))
+    UNION ALL SELECT doc_id, CASE WHEN many > 15 THEN {ranks["card"]} ELSE {ranks["payment"]} END, start, stop FROM cards
+    UNION ALL SELECT doc_id, {ranks["phone"]}, start, stop FROM phone_at WHERE length({digits}) BETWEEN 8 AND 15
+    UNION ALL SELECT doc_id, {ranks["iban"]}, start, stop FROM iban_at WHERE {mod_97}
+    UNION ALL SELECT doc_id, {ranks["ssn"]}, start, stop FROM ssn_at WHERE {ssn}),
+scored AS (
+    SELECT doc_id, rank, start, stop, greatest(0, least(100, CASE rank {priors} END
+           + CASE WHEN CASE rank {speaks} END THEN {pii.FOR} ELSE 0 END
+           - CASE WHEN regexp_matches(near, '{pii._word(pii.COUNTER)}') THEN {pii.AGAINST} ELSE 0 END)) AS score
+    FROM (SELECT p.*, translate(substr(text, CAST(greatest(start - {pii.BEFORE}, 0) + 1 AS BIGINT), CAST(least(start, {pii.BEFORE}) AS BIGINT)) || chr(10)
+                                || substr(text, CAST(stop + 1 AS BIGINT), {pii.AFTER}),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS near
+          FROM proposed p JOIN texts USING (doc_id))),
+base AS (SELECT * FROM scored WHERE rank < {pii.BASE}),
+with_iban AS (SELECT * FROM base UNION ALL
+    SELECT * FROM scored s WHERE rank = {ranks["iban"]} AND score >= {pii.THRESHOLD} AND {apart.format(others="base")}),
+with_payment AS (SELECT * FROM with_iban UNION ALL
+    SELECT * FROM scored s WHERE rank = {ranks["payment"]} AND score >= {pii.THRESHOLD} AND {apart.format(others="with_iban")}),
+every AS (SELECT * FROM with_payment UNION ALL
+    SELECT * FROM scored s WHERE rank = {ranks["ssn"]} AND score >= {pii.THRESHOLD} AND {apart.format(others="with_payment")}),
+named AS (SELECT *, [{", ".join(f"'{k}'" for k in pii.KINDS)}][rank + 1] || ':' || start || ':' || stop AS span FROM every),
+listed AS (
+    SELECT doc_id, {", ".join(f"count(*) FILTER (WHERE rank = {ranks[k]}) AS n_{k}" for k in pii.KINDS[: pii.BASE])},
+           string_agg(span, ',' ORDER BY rank, start) FILTER (WHERE rank < {pii.BASE}) AS base,
+           string_agg(span, ',' ORDER BY rank, start) AS spans, string_agg(CAST(score AS VARCHAR), ',' ORDER BY rank, start) AS scores
+    FROM named GROUP BY doc_id)
+SELECT t.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in pii.KINDS[: pii.BASE])},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
+FROM texts t LEFT JOIN listed ON listed.doc_id = t.doc_id
+"""
+
+
 ORACLES: dict[str, str] = {
     "op3_warc": _WARC,
     "op7_substrings": _SUBSTRINGS,
     "op8_secrets": _secrets_sql(),
     "op11_importance": _IMPORTANCE,
+    "op12_pii": _pii_sql(),
 }
