@@ -20,6 +20,7 @@ from demandlake.llm import (
     secrets,
     simhash,
     substrings,
+    trie,
     warc,
 )
 
@@ -93,6 +94,11 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -108,6 +114,7 @@ QUERIES: dict[str, Query] = {
         op10_bpe,
         op11_importance,
         op12_pii,
+        op13_trie,
     )
 }
 
@@ -271,6 +278,42 @@ FROM scored s LEFT JOIN places ON places.doc_id = s.doc_id
 """
 
 
+_TRIE = f"""
+WITH {_CRC_TABLE},
+turns AS (
+    SELECT conv_id, token, bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, token) AS place
+    FROM (SELECT conv_id, turn, octet_length(encode(text)) AS bytes,
+                 substr(sha256(octet_length(encode(role)) || ':' || role || text), 1, 32) AS token
+          FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL))),
+lengths AS (SELECT conv_id, count(*) AS n FROM turns GROUP BY 1),
+families AS (
+    SELECT l.conv_id, l.lead, h, least(h, coalesce(m.n, 0)) AS taken
+    FROM (SELECT conv_id, conv_id - conv_id % {trie.FAMILY} AS lead, {_crc("CAST(conv_id AS VARCHAR)")} % {trie.SHARED} AS h FROM lengths, crc) l
+    LEFT JOIN lengths m ON m.conv_id = l.lead),
+rebuilt AS (
+    SELECT f.conv_id, place, token, bytes FROM families f JOIN turns t ON t.conv_id = f.lead AND place <= h
+    UNION ALL SELECT conv_id, taken + place - h, token, bytes FROM families JOIN turns USING (conv_id) WHERE place > h),
+paths AS (
+    SELECT conv_id, place AS depth, sha256(string_agg(token, ',') OVER (PARTITION BY conv_id ORDER BY place)) AS key, bytes FROM rebuilt
+    UNION ALL SELECT conv_id, 0, 'root', 0 FROM lengths),
+nodes AS (SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(bytes) AS saved FROM paths GROUP BY ALL),
+parents AS (
+    SELECT n.key, o.key AS parent, o.conv_id AS parent_conv_id
+    FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1 JOIN nodes o ON o.key = p.key),
+children AS (SELECT parent AS key, count(*) AS n_children FROM parents GROUP BY 1),
+totals AS (
+    SELECT p.key, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum(saved) AS saved_tokens
+    FROM nodes n LEFT JOIN children c ON c.key = n.key JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY 1),
+ends AS (
+    SELECT key, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS convs
+    FROM (SELECT conv_id, max_by(key, depth) AS key FROM paths GROUP BY 1) GROUP BY 1)
+SELECT n.conv_id, n.depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(convs, '')) AS ends_sha256
+FROM nodes n JOIN totals t ON t.key = n.key LEFT JOIN parents p ON p.key = n.key LEFT JOIN children c ON c.key = n.key
+     LEFT JOIN ends e ON e.key = n.key
+"""
+
+
 def _pii_sql() -> str:
     digits = "regexp_replace(value, '[^0-9]', '', 'g')"
     luhn = """list_sum(list_transform(range(length(digits)), lambda i:
@@ -336,4 +379,5 @@ ORACLES: dict[str, str] = {
     "op8_secrets": _secrets_sql(),
     "op11_importance": _IMPORTANCE,
     "op12_pii": _pii_sql(),
+    "op13_trie": _TRIE,
 }
