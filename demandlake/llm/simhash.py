@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlake.llm.components import components
-from demandlake.llm.copies import keep_one  # noqa: F401  (verified copies; fingerprints of this module take no part)
 from demandlake.llm.rows import Batches, in_batches, per_batch, written
 
 SHINGLE_WORDS = 3

@@ -19,6 +19,7 @@ from demandlake.llm import (
     ann,
     bpe,
     components,
+    copies,
     decontaminate,
     extract,
     langid,
@@ -135,7 +136,7 @@ def test_most_copies_by_words_are_within_reach(spark):
     """Of documents that share 0.8 of their five-word shingles with an earlier one, most go; strangers stay."""
     rng = random.Random(11)
     vocabulary = [f"w{i}" for i in range(3000)]
-    rows, copies = [], []
+    rows, changed = [], []
     for i in range(300):
         words = rng.choices(vocabulary, k=rng.randint(120, 400))
         rows.append((2 * i, " ".join(words)))
@@ -143,10 +144,10 @@ def test_most_copies_by_words_are_within_reach(spark):
             for at in rng.sample(range(len(words)), max(1, len(words) // 100)):
                 words[at] = "changed"
             rows.append((2 * i + 1, " ".join(words)))
-            copies.append(2 * i + 1)
-    kept = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+            changed.append(2 * i + 1)
+    kept = {r["doc_id"] for r in copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {2 * i for i in range(300)} <= kept
-    assert len(kept & set(copies)) <= 0.3 * len(copies)
+    assert len(kept & set(changed)) <= 0.3 * len(changed)
 
 
 def sets_of(texts, width=5):
@@ -181,7 +182,7 @@ def test_copies_are_verified_by_similarity(spark):
     frame = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
     docs = sorted(map(tuple, frame.collect()))
     want = {docs[i][0] for i in firsts_by_similarity([text for _, text in docs])}
-    assert {r["doc_id"] for r in simhash.keep_one(frame).collect()} == want
+    assert {r["doc_id"] for r in copies.keep_one(frame).collect()} == want
     assert len(want) < len(docs)
 
 
@@ -198,7 +199,70 @@ def test_copies_that_are_not_like_the_smallest_of_their_bucket(spark):
     want = firsts_by_similarity(texts)
     assert 1 < len(want) < len(texts)
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert {r["doc_id"] for r in simhash.keep_one(frame).collect()} == want
+    assert {r["doc_id"] for r in copies.keep_one(frame).collect()} == want
+
+
+@pytest.fixture
+def candidates(monkeypatch):
+    """Numbers of candidate pairs, as they are verified."""
+    counts, verified = [], copies._verified
+
+    def counted(pairs, sets, similarity):
+        counts.append(pairs.count())
+        return verified(pairs, sets, similarity)
+
+    monkeypatch.setattr(copies, "_verified", counted)
+    return counts
+
+
+def test_a_passage_in_many_documents_makes_few_candidates(spark, candidates):
+    """Half of each of 1,000 documents is one passage, so they share buckets; none is a copy of another."""
+    rng = random.Random(7)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join((passage if i % 2 else []) + [f"w{rng.randrange(10**9)}" for _ in range(60)]) for i in range(2000)]
+    texts += [t + " end" for t in texts[:40]]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in copies.keep_one(frame).collect()}
+    assert kept == set(range(2000))
+    # the first comparison is with the smallest of each bucket, the others see what may be similar only
+    assert candidates[0] < 24 * 2000 and sum(candidates[1:]) < 2000
+
+
+def test_copies_below_the_similarity_make_few_candidates(spark, candidates):
+    """Copies of one text with one to six words changed: most lie near the text, many not near each other."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for _ in range(700):
+        words = list(base)
+        for at in rng.sample(range(150), rng.randint(1, 6)):
+            words[at] = f"c{rng.randrange(10**9)}"
+        texts.append(" ".join(words))
+    texts.append(" ".join(base))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in copies.keep_one(frame).collect()} == firsts_by_similarity(texts)
+    assert sum(candidates) < 40 * len(texts)
+
+
+def test_prefixes_of_similar_sets_meet(spark):
+    """Any two sets at the similarity have a place in common from which enough is left."""
+    rng = random.Random(9)
+    sets = {i: sorted(rng.sample(range(40), rng.randint(1, 30))) for i in range(60)}
+    sets |= {60 + i: sorted({*sets[i], *rng.sample(range(100, 200), rng.randint(0, 5))}) for i in range(60)}
+    frame = spark.createDataFrame(list(sets.items()), "content long, hashes array<long>")
+    places = {}
+    for row in copies.prefixes(frame, 0.8).collect():
+        places.setdefault(row["content"], {})[row["hash"]] = row["at"]
+    similar = 0
+    for a in sets:
+        for b in range(a):
+            common = len(set(sets[a]) & set(sets[b]))
+            if common / (len(sets[a]) + len(sets[b]) - common) >= 0.8:
+                similar += 1
+                both = places.get(a, {}).keys() & places.get(b, {}).keys()
+                needed = (len(sets[a]) + len(sets[b])) * 0.8 / 1.8
+                assert any(min(len(sets[a]) - places[a][h], len(sets[b]) - places[b][h]) >= needed - 1e-9 for h in both)
+    assert similar > 30
 
 
 def test_components_of_a_chain_and_of_nothing(spark):
@@ -214,7 +278,7 @@ def test_near_duplicates_of_odd_rows(odd):
     zero = [r for r in rows if r["fingerprint"] == "0" * 16]
     assert {r["doc_id"] for r in zero} == {1, 2, 3, None} and {r["component_id"] for r in zero} == {1}
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
-    assert simhash.keep_one(odd).columns == odd.columns
+    assert copies.keep_one(odd).columns == odd.columns
 
 
 # ----------------------------------------------------------------- language
@@ -626,8 +690,8 @@ def test_pipeline_like_its_stages_by_hand(spark, coder):
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rejected = {r["doc_id"] for r in QUERIES["op6_quality"](spark, sf).where("predicted = 0").collect()}
     left = [d for d in sorted(docs) if d not in rejected]
-    roots = classes_of([print_of(docs[d]["text"], 5) for d in left], 8)
-    left = [d for i, d in enumerate(left) if roots[i] == i]
+    firsts = firsts_by_similarity([docs[d]["text"] for d in left])
+    left = [d for i, d in enumerate(left) if i in firsts]
     items = [r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     left = [d for d in left if not any(i in docs[d]["text"] for i in items)]
     rows = {r["doc_id"]: r for r in corpus_pipeline.run(spark, sf).collect()}
@@ -655,7 +719,7 @@ def test_stages_take_odd_documents(spark, odd):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_as_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     result = connection.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
