@@ -19,6 +19,8 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}"
 # Runs of token characters that hold a digit, from their first character on.
 TOKEN = r"[A-Za-z+/_=-]*[0-9][A-Za-z0-9+/_=-]*"
+# The same for an engine that goes back: a run is looked at from its start only, and once.
+_TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z+/_=-]*+[0-9][A-Za-z0-9+/_=-]*+"
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_TOKEN = 12, 18, 20
 # Bits by which each pair of characters must speak for a random string, on average, in thousandths.
 THRESHOLD = 900
@@ -88,11 +90,15 @@ class MarkovModel:
     def ratio(self, token: Column) -> Column:
         """Sum of the weights of all pairs of neighbours in a token of printable ASCII."""
         table = F.split(F.lit(",".join(map(str, self.weights))), ",").cast("array<int>")
-        code = lambda at: F.ascii(F.substring(token, at, 1)) - F.lit(_FIRST)
         pairs = F.sequence(F.lit(1), F.length(token) - 1)
-        return F.aggregate(
-            pairs, F.lit(0), lambda total, at: total + F.get(table, code(at) * _LETTERS + code(at + 1))
-        )
+
+        def of(held: Column) -> Column:
+            code = lambda at: F.ascii(F.substring(held, at, 1).cast("string")) - F.lit(_FIRST)
+            step = lambda total, at: total + F.get(table, code(at) * _LETTERS + code(at + 1))
+            return F.aggregate(pairs, F.lit(0).cast("long"), step)
+
+        # bytes have their places, characters of a string are counted from its start every time
+        return F.get(F.transform(F.array(token.cast("binary")), of), 0)
 
 
 def train(samples: DataFrame) -> MarkovModel:
@@ -156,8 +162,9 @@ def scan(docs: DataFrame, model: MarkovModel) -> DataFrame:
     assign = F.filter(_found(text, ASSIGN, 2), lambda s: F.length(s["value"]) >= LEAST_ASSIGN)
     access = F.filter(_found(text, ACCESS), lambda s: F.length(s["value"]) >= LEAST_ACCESS)
     tokens = F.filter(
-        _found(text, TOKEN),
-        lambda s: (F.length(s["value"]) >= LEAST_TOKEN) & (model.ratio(s["value"]) >= THRESHOLD * (F.length(s["value"]) - 1)),
+        _found(text, _TOKEN),
+        lambda s: (F.length(s["value"]) >= LEAST_TOKEN)
+        & (model.ratio(s["value"]) >= F.lit(THRESHOLD).cast("long") * (F.length(s["value"]) - 1)),
     )
     base = F.array_sort(
         F.concat(_of_kind(assign, 0, "assign"), _of_kind(access, 1, "access"), _of_kind(_found(text, HEX), 2, "hex"))
