@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from demandlake.functions.text import is_active, is_failed, is_updating
 from demandlake.operators.running import rank_newest_first
 from demandlake.sources.names import stamp
+from demandlake.spec import TARGET_TIME_SERIES
 
 # Fixed value: a predictor older than this many seconds is retrained when its data changed.
 DEFAULT_MAX_AGE = 604_800
@@ -152,24 +153,35 @@ def forecast_stale(predictors: DataFrame, forecasts: DataFrame, datasets: DataFr
     )
 
 
-def content_signature(lines: DataFrame, keys: Sequence[str], line: str = "value") -> DataFrame:
-    """A signature per key that changes when any of its lines does.
+SIGNATURE_SUMS = ("lines", "part0", "part1", "part2", "part3")
+
+
+def content_sums(lines: DataFrame, keys: Sequence[str], columns: Sequence[str] = ("value",)) -> DataFrame:
+    """The numbers a signature is made of, per key: they may be kept per file and added up.
 
     Each line is hashed where it lies and the hashes are added up, so a dataset of any
     size is signed by all tasks that read it, none of which sees it whole. The order of
     lines does not matter, as it does not to any later step. A hash is added in four
     parts of 16 bits, whose sums stay in range for 2^47 lines.
     """
-    hashed = lines.select(*keys, F.xxhash64(line).alias("_hash"))
-    parts = [
-        F.sum(F.shiftrightunsigned("_hash", 16 * i).bitwiseAND(F.lit(0xFFFF))).alias(f"_part{i}")
-        for i in range(4)
-    ]
-    summed = hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_lines"), *parts)
-    numbers = ["_lines", *[f"_part{i}" for i in range(4)]]
-    return summed.select(
-        *keys, F.md5(F.concat_ws(":", *[F.col(n).cast("string") for n in numbers])).alias("signature")
-    )
+    hashed = lines.select(*keys, F.xxhash64(*columns).alias("_hash"))
+    parts = [F.sum(F.shiftrightunsigned("_hash", 16 * i).bitwiseAND(F.lit(0xFFFF))).alias(f"part{i}") for i in range(4)]
+    return hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("lines"), *parts)
+
+
+def added_sums(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sums of files as those of what they make up together, with its ``signature``."""
+    total = sums.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in SIGNATURE_SUMS])
+    return total.withColumn("signature", signature_of_sums())
+
+
+def signature_of_sums() -> Column:
+    return F.md5(F.concat_ws(":", *[F.col(n).cast("string") for n in SIGNATURE_SUMS]))
+
+
+def content_signature(lines: DataFrame, keys: Sequence[str], line: str = "value") -> DataFrame:
+    """A signature per key that changes when any of its lines does, whatever their order."""
+    return content_sums(lines, keys, [line]).select(*keys, signature_of_sums().alias("signature"))
 
 
 def content_changed(
@@ -251,8 +263,15 @@ def required_datasets(configured: DataFrame) -> DataFrame:
     return (
         per_type.groupBy("group")
         .agg(
-            F.bool_or(F.col("dataset_type") == "TARGET_TIME_SERIES").alias("has_target"),
+            F.bool_or(F.col("dataset_type") == TARGET_TIME_SERIES).alias("has_target"),
             F.count_if(F.col("copies") > 1).alias("duplicate_types"),
         )
         .withColumn("valid", F.col("has_target") & (F.col("duplicate_types") == 0))
     )
+
+
+def with_default_types(groups: DataFrame, configured: DataFrame) -> DataFrame:
+    """(group, dataset_type): the configured types of each group, a target series where nothing is configured."""
+    own = configured.select("group", "dataset_type")
+    bare = groups.select("group").distinct().join(own, "group", "left_anti")
+    return own.unionByName(bare.withColumn("dataset_type", F.lit(TARGET_TIME_SERIES)))
