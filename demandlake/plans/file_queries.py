@@ -9,10 +9,12 @@ from demandlake.plans import history_queries as h
 from demandlake.plans import tables as t
 from demandlake.plans.consolidation import resolve_sources, run_consolidation
 from demandlake.plans.registry import query
-from demandlake.session import work_folder
+from demandlake.session import work_folder, written
 from demandlake.sources import csv, signatures, tables
-from demandlake.spec import DatasetSpec
+from demandlake.spec import ITEM_METADATA, RELATED_TIME_SERIES, TARGET_TIME_SERIES, DatasetSpec
 from demandlake.streaming.arrivals import start_ingest
+from demandlake.streaming.deliveries import Intake, current_buckets, current_rows, take_in
+from demandlake.streaming.run_state import RunState
 
 LINE_SPEC = DatasetSpec.of("RETAIL", item_id="string", timestamp="timestamp", location="string", demand="float")
 
@@ -202,8 +204,120 @@ def consolidation_job(spark, sf):
     return spark.table(name).select(*_POPULATED)
 
 
-@query("ingest_stream", t.WEEKLY_SQL)
+def _intake(base: str) -> Intake:
+    specs = {TARGET_TIME_SERIES: LINE_SPEC, RELATED_TIME_SERIES: t.RELATED_SPEC, ITEM_METADATA: t.METADATA_SPEC}
+    return Intake(f"{base}/train", f"{base}/store", specs, "W", ["location"])
+
+
+def _parts(spark, sf):
+    return t.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("item_id"), "p_brand", "p_type")
+
+
+@query(
+    "ingest_stream",
+    """WITH lines AS (
+         SELECT 'demand' AS "group", * FROM lineitem UNION ALL SELECT 'other', * FROM lineitem WHERE l_linestatus = 'O')
+       SELECT 'target' AS kind, "group", CAST(l_partkey AS VARCHAR) AS identifier, l_returnflag AS label,
+              CAST(date_trunc('week', l_shipdate) AS TIMESTAMP) AS "timestamp", sum(l_quantity) AS metric
+       FROM lines GROUP BY ALL
+       UNION ALL
+       SELECT 'related', 'demand', CAST(l_partkey AS VARCHAR), NULL, CAST(l_shipdate AS TIMESTAMP), max(l_extendedprice)
+       FROM lineitem GROUP BY ALL
+       UNION ALL
+       SELECT 'metadata', 'demand', CAST(p_partkey AS VARCHAR), p_brand || ' ' || p_type, NULL, NULL FROM part""",
+)
 def ingest_stream(spark, sf):
+    """Two groups and three types arrive; then one group's target series is written over with all of its lines.
+
+    The second run reads that delivery only, and what it holds replaces what was there.
+    """
+    base = work_folder(spark, "arrivals")
+    intake = _intake(base)
+    lines = _lines(spark, sf, F.col("l_linestatus").alias("delivery"))
+    prices = t.table(spark, sf, "lineitem").groupBy(
+        F.col("l_partkey").cast("string").alias("item_id"),
+        F.date_format(F.col("l_shipdate").cast("timestamp"), "yyyy-MM-dd").alias("timestamp"),
+    )
+    csv.write_csv(lines.where("delivery = 'F'").drop("delivery"), f"{base}/train/demand.csv", header=True)
+    csv.write_csv(lines.where("delivery = 'O'").drop("delivery"), f"{base}/train/other.csv")
+    csv.write_csv(prices.agg(F.max("l_extendedprice").alias("price")), f"{base}/train/demand.related.csv")
+    csv.write_csv(_parts(spark, sf), f"{base}/train/demand.metadata.csv")
+    take_in(spark, intake)
+    csv.write_csv(lines.drop("delivery"), f"{base}/train/demand.csv")
+    take_in(spark, intake)
+    columns = ["kind", "group", "identifier", "label", "timestamp", "metric"]
+    target = current_buckets(spark, intake).withColumns({"kind": F.lit("target"), "label": F.col("location")})
+    related = current_rows(spark, intake, RELATED_TIME_SERIES).withColumns(
+        {"kind": F.lit("related"), "label": F.lit(None).cast("string"), "metric": F.col("price")}
+    )
+    metadata = current_rows(spark, intake, ITEM_METADATA).withColumns(
+        {
+            "kind": F.lit("metadata"),
+            "label": F.concat_ws(" ", "brand", "category"),
+            "timestamp": F.lit(None).cast("timestamp"),
+            "metric": F.lit(None).cast("double"),
+        }
+    )
+    return target.select(columns).unionByName(related.select(columns)).unionByName(metadata.select(columns))
+
+
+@query(
+    "arrival_decisions",
+    """WITH flags AS (SELECT l_returnflag AS "group", bool_or(l_linestatus = 'O') AS changed FROM lineitem GROUP BY 1)
+       SELECT 1 AS batch, "group", "group" <> 'R' AS ready, 'no predictor' AS train_reason, true AS retrain, 'no predictor' AS forecast
+       FROM flags
+       UNION ALL
+       SELECT 2, "group", true,
+              CASE WHEN "group" = 'R' THEN 'no predictor' WHEN changed THEN 'too old for changed data' ELSE 'up to date' END,
+              "group" = 'R' OR changed,
+              CASE WHEN "group" = 'R' THEN 'no predictor' WHEN changed THEN 'data changed' ELSE 'fresh' END
+       FROM flags
+       UNION ALL
+       SELECT 3, "group", true, CASE WHEN "group" = 'A' THEN 'too old for changed data' ELSE 'up to date' END, "group" = 'A',
+              CASE WHEN "group" = 'R' THEN 'no forecast' WHEN changed THEN 'other predictor' WHEN "group" = 'A' THEN 'data changed'
+                   ELSE 'fresh' END
+       FROM flags""",
+)
+def arrival_decisions(spark, sf):
+    """Three batches of arrivals, and what follows from each for a group per return flag.
+
+    First every group has its lines, and the one that asks for metadata waits. Then all files are written
+    over, with other quantities on open orders only, and the metadata comes. Last, one group gets metadata it
+    never asked for, and a file is written over with what it holds. After each batch the groups that are ready
+    and have to be are trained; forecasts are made after the first only.
+    """
+    base = work_folder(spark, "decisions")
+    intake, state = _intake(base), RunState(spark, f"{base}/state")
+    lines = _lines(spark, sf, (F.col("l_linestatus") == "O").cast("double").alias("open"), F.col("l_returnflag").alias("flag"))
+    more = lines.withColumn("demand", (F.col("demand").cast("double") + F.col("open")).cast("string"))
+    needs = "group string, dataset_type string"
+    configured = spark.createDataFrame([("R", TARGET_TIME_SERIES), ("R", ITEM_METADATA)], needs)
+    flags = sorted(row[0] for row in lines.select("flag").distinct().collect())
+    results = None
+    for batch in (1, 2, 3):
+        for flag in {1: flags, 2: flags, 3: ["N"]}[batch]:
+            rows = (lines if batch == 1 else more).where(F.col("flag") == flag).drop("open", "flag")
+            csv.write_csv(rows, f"{base}/train/{flag}.csv")
+        if batch > 1:
+            csv.write_csv(_parts(spark, sf), f"{base}/train/{'R' if batch == 2 else 'A'}.metadata.csv")
+        take_in(spark, intake)
+        state.follow(intake)
+        last = state.datasets().groupBy("group").agg(F.max("modified").alias("last"))
+        now = state.datasets().agg(F.max("modified") + F.make_dt_interval(hours=F.lit(1))).first()[0]
+        decided = written(state.decisions(F.lit(now), max_age=0, configured=configured), "decided").withColumn("batch", F.lit(batch))
+        results = decided if results is None else results.unionByName(decided)
+        trained = decided.where("ready AND retrain").join(last, "group").select(
+            F.lit("predictor").alias("kind"), F.concat_ws("_", "group", F.lit(str(batch))).alias("run"),
+            F.col("group").alias("parent"), "group", F.lit(None).cast("string").alias("predictor"), F.lit("ACTIVE").alias("status"),
+            F.col("last").alias("created"), F.col("last").alias("modified"), F.lit(None).cast("string").alias("signature"),
+        )
+        forecasts = trained.withColumns({"kind": F.lit("forecast"), "predictor": F.col("run")})
+        state.apply(runs=trained.unionByName(forecasts) if batch == 1 else trained)
+    return results.select("batch", "group", "ready", "train_reason", "retrain", "forecast")
+
+
+@query("ingest_late_history", t.WEEKLY_SQL)
+def ingest_late_history(spark, sf):
     """Files arrive in two deliveries whose dates overlap, so the second is late history for the first.
 
     A file of another group lies among them and is passed over.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Every timestamp in this library is UTC wall time.
 TIME_ZONE = "UTC"
@@ -52,3 +52,10 @@ def work_folder(spark: SparkSession, label: str) -> str:
             )
         base = tempfile.mkdtemp(prefix="demandlake-")
     return f"{base.rstrip('/')}/demandlake/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` stored in the shared folder and read from there, so that what follows doesn't repeat its work."""
+    path = work_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
