@@ -41,7 +41,6 @@ DATASETS = (
 )
 _DATASET = ["group", "dataset_type"]
 _DELIVERY = [*_DATASET, "delivered"]
-_UNDATED = "none"
 
 
 @dataclass(frozen=True)
@@ -166,11 +165,11 @@ def header_lines(staged: DataFrame, intake: Intake) -> list[tuple[str, int]]:
     columns = intake.widest.fieldNames()
     start = staged.where(F.col("block") == 0)
     # within the first piece of a file lines are numbered as they come
-    firsts = start.groupBy("file", "dataset_type").agg(F.min(F.struct("line", *columns)).alias("first"))
+    firsts = start.groupBy("file", "dataset_type").agg(F.min("line").alias("line"))
     found, unsure = [], {}
-    for row in firsts.collect():
-        fields, at = intake.specs[row["dataset_type"]].fields, (row["file"], row["first"]["line"])
-        names = _text(row["first"], len(fields)).split(",")
+    for row in start.join(firsts, ["file", "dataset_type", "line"]).collect():
+        fields, at = intake.specs[row["dataset_type"]].fields, (row["file"], row["line"])
+        names = _text(row, len(fields)).split(",")
         if sorted(names) == sorted(fields):
             found.append(at)
         elif set(names) & set(fields):
@@ -299,15 +298,14 @@ def _store(spark, tables, intake, version, replaced, to_read, unchanged) -> None
     if kept:
         # a dataset without rows has no folder
         folders = [f for f in sorted({_dataset_folder(tables, r) for r in kept}) if tables.exists(f)]
-        schema = f"{intake.row_schema}, version long, dataset_type string, group string, {PARTITION} string"
+        schema = f"{intake.row_schema}, version long, dataset_type string, group string"
         stored = spark.read.schema(schema).option("basePath", f"{tables.path}/rows")
         before = stored.parquet(*folders) if folders else spark.createDataFrame([], schema)
         names = spark.createDataFrame([(r["file"],) for r in kept], "file string")
         over = before.join(names, "file", "left_semi").select(*intake.row_fields, "file", *_DATASET)
         rows = over if rows is None else rows.unionByName(over)
-    dated = F.coalesce(month_starting("timestamp"), F.lit(_UNDATED)) if "timestamp" in intake.row_fields else F.lit(_UNDATED)
-    laid_out = rows.withColumn(PARTITION, dated).hint("rebalance", *_DATASET, PARTITION)
-    tables.write(laid_out, "rows", version, "dataset_type", "group", PARTITION)
+    # staged files hold a group and type each, so tasks write few files without a shuffle
+    tables.write(rows, "rows", version, "dataset_type", "group")
     targets = sorted(group for group, kind in replaced if kind == TARGET_TIME_SERIES)
     if targets:
         _bucket(spark, tables, intake, version, targets)
@@ -324,7 +322,7 @@ def _bucket(spark, tables, intake, version, targets) -> None:
     for group in targets:
         frequency, dimensions = intake.settings.get(group, (intake.frequency, intake.dimensions))
         by_setting.setdefault((frequency, tuple(dimensions)), []).append(group)
-    schema = f"{intake.row_schema}, dataset_type string, group string, {PARTITION} string"
+    schema = f"{intake.row_schema}, dataset_type string, group string"
     rows = tables.read("rows", version, schema).where(F.col("dataset_type") == TARGET_TIME_SERIES)
     result = None
     for (frequency, dimensions), groups in by_setting.items():
@@ -365,7 +363,7 @@ def current_rows(spark: SparkSession, intake: Intake, kind: str) -> DataFrame:
     spec = intake.specs[kind]
     renamed = {spec.identifier: "identifier", spec.target: "metric"}
     fields = [renamed.get(f, f) for f in spec.fields]
-    rows = _visible(spark, intake, "rows", kind, f"{intake.row_schema}, version long, dataset_type string, group string, {PARTITION} string")
+    rows = _visible(spark, intake, "rows", kind, f"{intake.row_schema}, version long, dataset_type string, group string")
     return rows.select("group", *fields)
 
 
