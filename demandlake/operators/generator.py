@@ -221,26 +221,27 @@ def seasonal_series(models: DataFrame, start: datetime | str, length: int, outpu
     dates by a day or so per period.
 
     Factors are worked out once per distinct seasonality and piece of the calendar, not
-    once per series: series often share them.
+    once per series: series often share them. A seasonality is known by a number, the same in
+    every run; series and factors meet by that number and the piece.
     """
     origin = F.lit(start).cast("timestamp")
     minutes = F.col("bucket_minutes")
     shaped = models.withColumns(
         {k: F.coalesce(k, F.array_repeat(F.lit(1.0), n)) for k, n in SEASONALITY_LENGTHS.items()}
     )
-    pieces = _pieces(shaped, length)
-    profile = [*SEASONALITY_LENGTHS, "bucket_minutes", "_from"]
+    shape = [*SEASONALITY_LENGTHS, "bucket_minutes"]
+    shaped = shaped.withColumn("_profile", F.xxhash64(*shape))
 
     def factor(period: Column) -> Column:
         moved = F.unix_micros(origin) + (period * minutes * F.lit(60e6)).cast("bigint")
         return seasonal_factor(F.timestamp_micros(moved), minutes)
 
-    factors = _spread(pieces.select(*profile).distinct(), *profile).select(
-        *profile, F.transform(F.sequence("_from", _last(length)), factor).alias("_factors")
-    )
+    pieces = _spread(_pieces(_profiles(shaped, shape), length), "_profile", "_from")
+    factors = pieces.select("_profile", "_from", F.transform(F.sequence("_from", _last(length)), factor).alias("_factors"))
     kept = [c for c in models.columns if c not in SEASONALITY_LENGTHS]
+    series = _pieces(shaped.select(*kept, "_profile"), length)
     return (
-        _spread(pieces.join(factors, profile), "name", "_from")
+        _spread(series.join(factors, ["_profile", "_from"]), "name", "_from")
         # never empty; plain explode would have Spark test the factors before they are shared
         .select(*kept, "_from", F.posexplode_outer("_factors").alias("_position", "_factor"))
         .withColumn("period", F.col("_from") + F.col("_position"))
@@ -250,6 +251,15 @@ def seasonal_series(models: DataFrame, start: datetime | str, length: int, outpu
     )
 
 
+def _profiles(shaped: DataFrame, shape: Sequence[str]) -> DataFrame:
+    """Each distinct seasonality once, by its number; two that share a number fail the job."""
+    own = F.struct(*shape)
+    found = shaped.groupBy("_profile").agg(F.min(own).alias("_low"), F.max(own).alias("_high"))
+    clash = F.raise_error(F.lit("two seasonalities have the same number"))
+    one = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(clash)
+    return found.select("_profile", one.alias("_shape")).select("_profile", *[F.col(f"_shape.{c}").alias(c) for c in shape])
+
+
 def metadata_multiplier(seed: int) -> Column:
     """Product over a row's metadata of one normal draw each, centred between ``min`` and ``max``.
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from demandlake.sources.versions import VersionedTables
+
 PARTITION = "month_starting"
 
 
@@ -28,6 +30,33 @@ def write_by_month(
     return table
 
 
+def publish_by_month(
+    df: DataFrame, table: str, path: str, order: tuple[str, ...] = ("identifier", "timestamp")
+) -> str:
+    """Write a table by month under a run folder of its own, and switch the view ``table`` to it at the end.
+
+    Readers see the run before or this one, never a part: the view is replaced only after all rows have
+    been counted in the new files, and a run that fails leaves the view as it was. Files
+    of the run that was replaced stay until the next one, for readers that have begun; older ones go.
+    """
+    spark = df.sparkSession
+    store = VersionedTables(spark, path)
+    version = store.current() + 1
+    sent = Observation()
+    counted = df.observe(sent, F.count(F.lit(1)).alias("rows"))
+    laid_out = counted.hint("rebalance", F.col(PARTITION)).sortWithinPartitions(PARTITION, *order)
+    store.write(laid_out, "months", version, PARTITION)
+    stored = spark.read.schema(df.schema).parquet(store.folder("months", version)).count()
+    if stored != sent.get["rows"]:
+        raise ValueError(f"{stored} rows in {store.folder('months', version)}, {sent.get['rows']} were written")
+    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema.fields)
+    spark.sql(f"CREATE OR REPLACE VIEW `{table}` AS SELECT {columns} FROM parquet.`{store.folder('months', version)}`")
+    store.publish(version)
+    if version > 2:
+        store.remove(store.folder("months", version - 2))
+    return table
+
+
 def write_months(df: DataFrame, path: str, *extra_partitions: str) -> str:
     """Replace only the month partitions present in ``df``, rebalanced as in ``write_by_month``."""
     (

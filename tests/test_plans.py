@@ -137,3 +137,29 @@ def test_totals_of_all_domains_are_computed_once(spark, sf):
     plan = df._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
     assert count(final, "ReusedExchange") == 6
+
+
+def test_series_and_factors_meet_by_two_numbers(spark, sf):
+    """With a sort-merge join: its keys are the number of a seasonality and the piece of the calendar."""
+    from demandlake.plans.generation import expected_series
+    from demandlake.plans.generator_queries import LENGTH, START, models
+
+    big = F.col("rate") > 25
+    plain = models(spark, sf)
+    two = plain.withColumn("hourly", F.when(big, F.reverse("hourly")).otherwise(F.col("hourly")))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(expected_series(two, START, LENGTH, "H"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    joins = re.findall(r"SortMergeJoin \[(.*?)\], \[(.*?)\]", plan)
+    assert [re.sub(r"#\d+L?", "", left) for left, _ in joins] == ["_profile, _from"]
+    assert not re.search(r"hashpartitioning\([^)]*hourly", plan)
+
+    def rates(df):
+        return expected_series(df, START, 30, "H").agg(F.sum("rate_at"), F.sum(F.col("rate_at") * F.col("period"))).first()
+
+    turned = plain.withColumn("hourly", F.reverse("hourly"))
+    apart = [rates(plain.where(~big)), rates(turned.where(big))]
+    assert [round(x, 3) for x in rates(two)] == [round(a + b, 3) for a, b in zip(*apart, strict=True)]

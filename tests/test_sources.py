@@ -103,6 +103,32 @@ def test_month_table_round_trip_prunes_months(spark, tmp_path):
     assert rows(spark.sql(f"SELECT sum(metric) FROM {name} WHERE month_starting >= '2000-02-01'")) == [(9.0,)]
 
 
+def test_a_table_is_published_at_once_or_not_at_all(spark, tmp_path):
+    path = str(tmp_path / "published")
+    first = wide(spark)
+    broken = first.withColumn("metric", F.when(F.col("metric") == 2, F.raise_error(F.lit("half-way"))).otherwise(F.col("metric")))
+    with pytest.raises(Exception, match="half-way"):
+        tables.publish_by_month(broken, "whole", path)
+    assert not spark.catalog.tableExists("whole")
+    tables.publish_by_month(first, "whole", path)
+    before = rows(spark.table("whole"))
+    assert before == rows(first) and spark.table("whole").schema == first.schema
+    with pytest.raises(Exception, match="half-way"):
+        tables.publish_by_month(broken, "whole", path)
+    assert rows(spark.table("whole")) == before
+    reader = spark.table("whole")
+    more = first.withColumn("metric", F.col("metric") + 1)
+    tables.publish_by_month(more, "whole", path)
+    assert rows(spark.table("whole")) == rows(more)
+    assert rows(reader) == before  # a reader that has begun finds its files
+    plan = spark.table("whole").where("month_starting = '2000-02-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month_starting" in plan or "month_starting" in plan.split("PartitionFilters")[1][:80]
+    for _ in range(2):
+        tables.publish_by_month(first, "whole", path)
+    assert sorted(p.name for p in (tmp_path / "published" / "months").iterdir()) == ["version=3", "version=4"]
+    spark.sql("DROP VIEW whole")
+
+
 def test_runs_with_other_columns_are_read_together(spark, tmp_path):
     one, two = str(tmp_path / "one"), str(tmp_path / "two")
     tables.write_by_month(wide(spark), "run_one", one)
