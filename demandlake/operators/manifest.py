@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 
 from demandlake.functions.text import is_active, is_failed, is_updating
 from demandlake.operators.running import rank_newest_first
-from demandlake.sources.names import stamp
+from demandlake.sources.names import (
+    backtest_export_name,
+    forecast_export_name,
+    forecast_name,
+    predictor_name,
+    stamp,
+)
 from demandlake.spec import TARGET_TIME_SERIES
 
 # Fixed value: a predictor older than this many seconds is retrained when its data changed.
@@ -49,6 +55,25 @@ def latest_change(datasets: DataFrame) -> DataFrame:
     )
 
 
+def latest_names(datasets: DataFrame, predictors: DataFrame) -> DataFrame:
+    """Per group, what the next runs are called: after the newest change of its data, or its newest predictor.
+
+    ``predictors`` has ``group, run, created`` and ``automatic``. A group without a predictor has no name for
+    a backtest export, and is taken not to be automatic.
+    """
+    last = newest(predictors.select("group", "run", "created", "automatic"), ["group"], "created", "run")
+    changed = datasets.groupBy("group").agg(F.max("modified").alias("modified"))
+    group, data, made = F.col("group"), F.col("modified"), F.col("created")
+    automatic = F.coalesce("automatic", F.lit(False))
+    return changed.join(last, "group", "left").select(
+        "group",
+        predictor_name(group, data, automatic).alias("predictor_name"),
+        F.when(made.isNotNull(), backtest_export_name(group, made, automatic)).alias("backtest_export_name"),
+        forecast_name(group, data, automatic).alias("forecast_name"),
+        forecast_export_name(group, data, automatic).alias("forecast_export_name"),
+    )
+
+
 def status_classes(status: Column) -> list[Column]:
     return [
         is_active(status).alias("finalized"),

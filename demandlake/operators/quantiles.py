@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlake.operators.history import after
+from demandlake.operators.running import running_total
 
 
 def quantile_name(level: str) -> str:
@@ -32,6 +33,41 @@ def quantile_aggregates(
     return _quantiles(df, keys, levels, value, [])
 
 
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], levels: Sequence[str], value: str = "metric"
+) -> DataFrame:
+    """One column per declared level, exact, per group, where a group may hold all rows.
+
+    As ``quantile_aggregates``, with the same interpolation, but for rows of any number: values are counted before
+    the shuffle, the counts are added up over slices in order of value, and the values at the
+    positions asked for are picked by an aggregate. No task sees more of a group than a slice, and no
+    buffer holds its values. Nulls are left out; a group of nulls has null quantiles.
+    """
+    keys = list(keys)
+    percents = {name: float(level) for level in levels if (name := quantile_name(level)) != "mean"}
+    counted = df.groupBy(*keys, value).agg(F.count(value).alias("_n"))
+    ordered = running_total(counted, keys, order=value, value="_n").withColumn("_key", F.struct(*keys))
+    sums = [F.sum("_n").alias("_all"), F.sum(F.col(value) * F.col("_n")).alias("_sum")]
+    totals = counted.groupBy(F.struct(*keys).alias("_key")).agg(*sums)
+    up_to, here = F.col("cumulative"), F.col("_n")
+    picks = []
+    for name, level in percents.items():
+        place = F.lit(level) * (F.col("_all") - 1)
+        for side, index in (("low", F.floor(place)), ("high", F.ceil(place))):
+            held = (up_to - here <= index) & (index < up_to)
+            picks.append(F.max(F.when(held, F.col(value))).alias(f"_{side}_{name}"))
+    found = ordered.join(totals, "_key").groupBy("_key", "_all", "_sum").agg(*picks)
+
+    def between(name: str) -> Column:
+        place, low, high = F.lit(percents[name]) * (F.col("_all") - 1), F.col(f"_low_{name}"), F.col(f"_high_{name}")
+        mixed = (F.ceil(place) - place) * low + (place - F.floor(place)) * high
+        return F.when(F.ceil(place) == F.floor(place), low).otherwise(mixed).cast("double").alias(name)
+
+    average = [F.try_divide("_sum", "_all").cast("double").alias("mean")] if "mean" in levels else []
+    named = [F.col(f"_key.`{k}`").alias(k) for k in keys]
+    return found.select(*named, *[between(name) for name in percents], *average)
+
+
 def baseline_forecast(
     df: DataFrame, keys: Sequence[str], frequency: str, length: int, levels: Sequence[str]
 ) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,20 +14,22 @@ from demandlake.operators.clean import clean_export, clean_input, map_export
 from demandlake.operators.consolidate import consolidate
 from demandlake.operators.manifest import newest
 from demandlake.functions.text import is_active
-from demandlake.sources.csv import read_dataset, read_export
+from demandlake.sources.csv import first_existing, read_dataset, read_export
 from demandlake.sources.names import data_path
-from demandlake.sources.tables import write_by_month
+from demandlake.sources.tables import publish_by_month, write_by_month
 from demandlake.spec import DatasetSpec
 
 
 @dataclass(frozen=True)
 class GroupSources:
-    """Where the data of one dataset group lies."""
+    """Where the data of one dataset group lies, and the settings of its predictor if they are recorded."""
 
     target: str
     backtest: str
     forecast: str
     metadata: str | None = None
+    frequency: str | None = None
+    dimensions: tuple[str, ...] = ()
 
 
 def resolve_sources(
@@ -36,35 +39,47 @@ def resolve_sources(
     metadata_dataset: str | None = None,
     same_predictor: bool = False,
 ) -> GroupSources:
-    """Locations of the newest active runs of a group.
+    """Locations of the newest active runs of a group, found in one job.
 
     ``runs`` has ``kind, run, parent, predictor, status, created, source_path,
     destination_path``; the parent of imports is their dataset, of predictors and
-    forecasts the group, of exports the predictor or forecast. The newest forecast and the
-    newest predictor are chosen independently unless ``same_predictor`` asks for a forecast
-    of that predictor.
+    forecasts the group, of exports the predictor or forecast. A column ``settings`` may hold what a
+    predictor was told, as JSON. The newest forecast and the newest predictor are chosen
+    independently unless ``same_predictor`` asks for a forecast of that predictor.
     """
     active = runs.where(is_active(F.col("status")))
-
-    def latest(kind: str, parent: str, extra=None) -> dict:
-        found = active.where((F.col("kind") == kind) & (F.col("parent") == parent))
-        if extra is not None:
-            found = found.where(extra)
-        row = newest(found, ["kind"], "created", "run").withColumn(
-            "path", data_path(F.col("kind"), F.col("destination_path"), F.col("source_path"))
-        ).first()
-        if row is None:
-            raise ValueError(f"no active {kind.replace('_', ' ')} for {parent!r}")
-        return row.asDict()
-
-    predictor = latest("predictor", group)["run"]
-    by_predictor = F.col("predictor") == predictor if same_predictor else None
-    forecast = latest("forecast", group, by_predictor)["run"]
+    kind, parent = F.col("kind"), F.col("parent")
+    datasets = [d for d in (target_dataset, metadata_dataset) if d]
+    made = active.where(kind.isin("predictor", "forecast") & (parent == group))
+    imported = active.where((kind == "import") & parent.isin(*datasets))
+    exported = active.where(kind.isin("backtest_export", "forecast_export")).join(
+        made.select(F.col("run").alias("parent")).distinct(), "parent", "left_semi"
+    )
+    own = made.unionByName(imported).unionByName(exported)
+    # one row per dataset, per predictor with forecasts, and per export of these
+    last = newest(own, ["kind", "parent", "predictor"], "created", "run").withColumn(
+        "path", data_path(kind, F.col("destination_path"), F.col("source_path"))
+    )
+    found = last.collect()
+
+    def latest(wanted: str, parent: str, predictor: str | None = None) -> dict:
+        rows = [r for r in found if (r["kind"], r["parent"]) == (wanted, parent) and predictor in (None, r["predictor"])]
+        if not rows:
+            raise ValueError(f"no active {wanted.replace('_', ' ')} for {parent!r}")
+        return max(rows, key=lambda r: (r["created"], r["run"])).asDict()
+
+    predictor = latest("predictor", group)
+    forecast = latest("forecast", group, predictor["run"] if same_predictor else None)
+    frequency, dimensions = None, []
+    if predictor.get("settings"):
+        frequency, dimensions = forecast_settings(json.loads(predictor["settings"]))
     return GroupSources(
         target=latest("import", target_dataset)["path"],
         metadata=latest("import", metadata_dataset)["path"] if metadata_dataset else None,
-        backtest=latest("backtest_export", predictor)["path"],
-        forecast=latest("forecast_export", forecast)["path"],
+        backtest=latest("backtest_export", predictor["run"])["path"],
+        forecast=latest("forecast_export", forecast["run"])["path"],
+        frequency=frequency,
+        dimensions=tuple(dimensions),
     )
 
 
@@ -74,15 +89,27 @@ def forecast_settings(predictor: Mapping) -> tuple[str, list[str]]:
     return holder["ForecastFrequency"], list(holder.get("ForecastDimensions") or [])
 
 
+def at_hand(spark: SparkSession, sources: GroupSources, cache: str) -> GroupSources:
+    """``sources`` with those places replaced that have a copy under ``cache``, named by what they are."""
+    held = {"target": sources.target, "backtest": sources.backtest, "forecast": sources.forecast}
+    if sources.metadata:
+        held["metadata"] = sources.metadata
+    return replace(sources, **{name: first_existing(spark, f"{cache}/{name}", path) for name, path in held.items()})
+
+
 def consolidated(
     spark: SparkSession,
     sources: GroupSources,
     target_spec: DatasetSpec,
-    frequency: str,
-    dimensions: Sequence[str] = (),
+    frequency: str | None = None,
+    dimensions: Sequence[str] | None = None,
     metadata_spec: DatasetSpec | None = None,
 ) -> DataFrame:
-    """The consolidated frame of one group; lazy, apart from looking at headers."""
+    """The consolidated frame of one group; lazy, apart from looking at headers.
+
+    Frequency and dimensions are those of the sources' predictor where they are not given.
+    """
+    frequency, dimensions = _settings(sources, frequency, dimensions)
     history = bucket(
         clean_input(read_dataset(spark, sources.target, target_spec), target_spec), frequency, dimensions
     )
@@ -103,17 +130,36 @@ def consolidated(
     )
 
 
+def _settings(sources: GroupSources, frequency: str | None, dimensions: Sequence[str] | None) -> tuple[str, Sequence[str]]:
+    frequency = frequency or sources.frequency
+    if frequency is None:
+        raise ValueError("no frequency given, and none recorded for the predictor")
+    return frequency, sources.dimensions if dimensions is None else dimensions
+
+
 def run_consolidation(
     spark: SparkSession,
     sources: GroupSources,
     target_spec: DatasetSpec,
-    frequency: str,
-    table: str,
-    dimensions: Sequence[str] = (),
+    frequency: str | None = None,
+    table: str = "consolidated",
+    dimensions: Sequence[str] | None = None,
     metadata_spec: DatasetSpec | None = None,
     path: str | None = None,
+    cache: str | None = None,
+    publish: bool = False,
 ) -> str:
-    """Consolidate one group and write it as a catalog table partitioned by month."""
+    """Consolidate one group and write it by month, as a catalog table.
+
+    With ``publish``, a view over a folder of this run under ``path`` is switched to it at the end instead.
+    Copies under ``cache`` are read in place of the originals.
+    """
+    sources = at_hand(spark, sources, cache) if cache else sources
+    frequency, dimensions = _settings(sources, frequency, dimensions)
     wide = consolidated(spark, sources, target_spec, frequency, dimensions, metadata_spec)
-    dims = tuple(f"dimension_{i}" for i in range(1, len(dimensions) + 1))
-    return write_by_month(wide, table, path, order=("identifier", *dims, "timestamp"))
+    order = ("identifier", *(f"dimension_{i}" for i in range(1, len(dimensions) + 1)), "timestamp")
+    if publish:
+        if not path:
+            raise ValueError("a published table needs a path")
+        return publish_by_month(wide, table, path, order)
+    return write_by_month(wide, table, path, order)

@@ -170,14 +170,16 @@ def sql_view(spark, sf):
 
 @query("consolidation_job", f"""SELECT {", ".join(f'"{c}"' for c in _POPULATED)} FROM ({h.CONSOLIDATED_SQL})""")
 def consolidation_job(spark, sf):
-    """Files and run records in, catalog table out: the whole job."""
+    """Files and run records in, published table out: the whole job, with the settings of the newest predictor."""
     base = work_folder(spark, "job")
     csv.write_csv(_lines(spark, sf), f"{base}/train/demand.csv")
     csv.write_csv(
         t.metadata(spark, sf).withColumnRenamed("identifier", "item_id"), f"{base}/train/demand.metadata.csv", header=True
     )
     csv.write_csv(t.raw_backtest(spark, sf), f"{base}/backtest/forecasted-values", header=True)
-    csv.write_csv(t.raw_forecast(spark, sf), f"{base}/forecast", header=True)
+    # a copy at hand takes the place of the export, which isn't there any more
+    csv.write_csv(t.raw_forecast(spark, sf), f"{base}/cache/forecast", header=True)
+    settings = '{"FeaturizationConfig": {"ForecastFrequency": "W", "ForecastDimensions": ["location"]}}'
     runs = spark.createDataFrame(
         [
             ("import", "i1", "demand", None, "2001-01-01", f"{base}/old", None),
@@ -189,17 +191,17 @@ def consolidation_job(spark, sf):
             ("forecast_export", "e1", "f1", "p1", "2001-01-05", None, f"{base}/forecast"),
         ],
         "kind string, run string, parent string, predictor string, created string, source_path string, destination_path string",
-    ).select("*", F.lit("ACTIVE").alias("status"))
+    ).select("*", F.lit("ACTIVE").alias("status"), F.lit(settings).alias("settings"))
     sources = resolve_sources(runs, "demand", "demand", "demand_metadata", same_predictor=True)
     name = run_consolidation(
         spark,
         sources,
         t.TARGET_SPEC,
-        "W",
         table=f"demand_{base[-32:]}",
-        dimensions=["location"],
         metadata_spec=t.METADATA_SPEC,
         path=f"{base}/output",
+        cache=f"{base}/cache",
+        publish=True,
     )
     return spark.table(name).select(*_POPULATED)
 

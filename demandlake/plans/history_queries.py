@@ -9,7 +9,7 @@ from demandlake.operators import consolidate as c
 from demandlake.operators import views
 from demandlake.operators.bucket import bucket
 from demandlake.operators.history import backtest_split, fill_gaps, horizon
-from demandlake.operators.quantiles import baseline_forecast, quantile_aggregates
+from demandlake.operators.quantiles import baseline_forecast, exact_quantiles, quantile_aggregates
 from demandlake.operators.running import running_total
 from demandlake.plans import tables as t
 from demandlake.plans.registry import query
@@ -352,6 +352,18 @@ def quantile_columns(spark, sf):
     )
 
 
+@query(
+    "exact_quantiles",
+    """SELECT l_returnflag AS location, round(quantile_cont(l_extendedprice, 0.1), 6) AS p10, round(quantile_cont(l_extendedprice, 0.5), 6) AS p50,
+              round(quantile_cont(l_extendedprice, 0.9), 6) AS p90
+       FROM lineitem GROUP BY 1""",
+)
+def exact_price_quantiles(spark, sf):
+    """Quantiles of all line prices per return flag: three groups that hold all rows, none of which is bucketed."""
+    lines = t.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("location"), F.col("l_extendedprice").alias("metric"))
+    return _rounded(exact_quantiles(lines, ["location"], ["0.10", "0.50", "0.90"]), "p10", "p50", "p90")
+
+
 @query(
     "baseline_forecast",
     f"""SELECT identifier, CAST(step AS INTEGER) AS step, last + step * INTERVAL 1 MONTH AS "timestamp",

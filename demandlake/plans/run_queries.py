@@ -294,6 +294,44 @@ def run_names(spark, sf):
     )
 
 
+@query(
+    "latest_run_names",
+    f"""WITH last AS (SELECT "group", created, {_AUTO_SQL} AS auto FROM ({t.GROUP_RUNS_SQL})
+                      QUALIFY row_number() OVER (PARTITION BY "group" ORDER BY created DESC, run DESC) = 1),
+             named AS (SELECT "group", coalesce(auto, false) AS auto, strftime(max(modified), '%Y_%m_%d_%H_%M_%S') AS stamp,
+                              strftime(created, '%Y_%m_%d_%H_%M_%S') AS made
+                       FROM ({t.DATASETS_SQL}) LEFT JOIN last USING ("group") GROUP BY "group", auto, created)
+        SELECT "group", "group" || CASE WHEN auto THEN '_auto_' ELSE '_' END || stamp AS predictor_name,
+               'export_' || "group" || CASE WHEN auto THEN '_auto_' ELSE '_' END || made AS backtest_export_name,
+               'forecast_' || CASE WHEN auto THEN 'ap_' ELSE '' END || "group" || '_' || stamp AS forecast_name,
+               'export_' || CASE WHEN auto THEN 'ap_' ELSE '' END || "group" || '_' || stamp AS forecast_export_name
+        FROM named""",
+)
+def latest_run_names(spark, sf):
+    """Names of the next runs of each group, from its newest dataset change and its newest run."""
+    predictors = t.group_runs(spark, sf).withColumn("automatic", F.col("predictor") == "1-URGENT")
+    return m.latest_names(t.datasets(spark, sf), predictors)
+
+
+@query(
+    "required_by_default",
+    f"""WITH own AS (SELECT "group", count(*) FILTER (segment <> 'BUILDING') AS configured, bool_or(segment = 'FURNITURE') AS target,
+                            count(*) FILTER (segment <> 'BUILDING') - count(DISTINCT segment) FILTER (segment <> 'BUILDING') AS more
+                     FROM ({t.DATASETS_SQL}) GROUP BY 1),
+             copies AS (SELECT "group", count(*) FILTER (n > 1) AS duplicate_types FROM (
+                          SELECT "group", segment, count(*) AS n FROM ({t.DATASETS_SQL}) WHERE segment <> 'BUILDING' GROUP BY 1, 2) GROUP BY 1)
+        SELECT own."group", configured = 0 OR target AS has_target, coalesce(duplicate_types, 0) AS duplicate_types,
+               (configured = 0 OR target) AND coalesce(duplicate_types, 0) = 0 AS valid
+        FROM own LEFT JOIN copies USING ("group")""",
+)
+def required_by_default(spark, sf):
+    """Every group, those without a configured type included: they need a target series, and nothing else."""
+    datasets = t.datasets(spark, sf)
+    kind = F.when(F.col("segment") == "FURNITURE", "TARGET_TIME_SERIES").otherwise(F.col("segment"))
+    configured = datasets.where(F.col("segment") != "BUILDING").select("group", kind.alias("dataset_type"))
+    return m.required_datasets(m.with_default_types(datasets, configured))
+
+
 @query(
     "export_path",
     f"""SELECT run, kind, CASE kind WHEN 'import' THEN 's3://demand/train/' || CAST(parent AS VARCHAR) || '.csv'

@@ -1,8 +1,10 @@
 """Dirty sample files through cleaning, bucketing and consolidation."""
 
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from demandlake.operators.bucket import bucket
 from demandlake.operators.clean import clean_export, clean_input
@@ -138,6 +140,21 @@ def test_written_table(spark, sources, tmp_path):
     assert (tmp_path / "out" / "month_starting=1999-12-01").is_dir()
 
 
+def test_published_table_and_copies_at_hand(spark, sources, tmp_path):
+    cached = tmp_path / "cache"
+    (cached / "target").mkdir(parents=True)
+    (cached / "target" / "part.csv").write_text("item_01,2000-01-01 01:01:01,50\n")
+    recorded = replace(sources, frequency="W")
+    for cache, first in ((None, 3.0), (str(cached), 50.0)):
+        run_consolidation(spark, recorded, TARGET, table="golden_view", path=str(tmp_path / "out"), cache=cache, publish=True)
+        assert spark.table("golden_view").orderBy("timestamp").first()["metric"] == first
+    with pytest.raises(ValueError, match="frequency"):
+        run_consolidation(spark, sources, TARGET, table="golden_view", path=str(tmp_path / "out"))
+    with pytest.raises(ValueError, match="path"):
+        run_consolidation(spark, recorded, TARGET, table="golden_view", publish=True)
+    spark.sql("DROP VIEW golden_view")
+
+
 def test_header_is_found(spark, sources):
     assert has_header(spark, sources.target, TARGET.fields)
     assert has_header(spark, sources.metadata, METADATA.fields)
@@ -182,6 +199,12 @@ def test_missing_run_is_named(spark, missing):
         resolve_sources(kept, "g", "ds")
 
 
+def test_settings_come_with_the_predictor(spark):
+    told = F.when(F.col("run") == "p2", '{"ForecastFrequency": "D", "ForecastDimensions": ["x"]}').otherwise('{"ForecastFrequency": "H"}')
+    found = resolve_sources(manifest(spark, RUNS).withColumn("settings", told), "g", "ds")
+    assert (found.frequency, found.dimensions) == ("D", ("x",))
+
+
 def test_forecast_settings_in_both_places():
     nested = {"FeaturizationConfig": {"ForecastFrequency": "W", "ForecastDimensions": ["location"]}}
     assert forecast_settings(nested) == ("W", ["location"])

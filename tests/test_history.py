@@ -1,6 +1,7 @@
 """Gap filling, horizon, backtest windows, quantiles, running totals and ranks against brute force."""
 
 import random
+import re
 from datetime import datetime, timedelta
 from statistics import median
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandlake.operators.history import backtest_split, fill_gaps, horizon, split_geolocation, to_utc
-from demandlake.operators.quantiles import baseline_forecast, quantile_aggregates, quantile_name
+from demandlake.operators.quantiles import baseline_forecast, exact_quantiles, quantile_aggregates, quantile_name
 from demandlake.operators.running import rank_newest_first, running_total
 
 from conftest import rows
@@ -141,6 +142,34 @@ def test_quantiles_interpolate_and_skip_nulls(spark):
     assert baseline_forecast(df, ["identifier"], "D", 4, ["0.50"]).count() == 4
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_exact_quantiles_like_the_aggregate(spark, seed):
+    rng = random.Random(seed)
+    points = [
+        (rng.choice(["hot", "hot", "hot", "b", None]), START, rng.choice([None, float(rng.randint(0, 9)), rng.random(), -0.5]))
+        for _ in range(500)
+    ]
+    points += [("one", START, 2.0), ("nulls", START, None)]
+    df = spark.createDataFrame(points, SCHEMA)
+    levels = ["0.01", "0.25", "0.50", "0.90", "0.99", "mean"]
+    found, want = (
+        {r["identifier"]: [None if v is None else round(v, 9) for v in r[1:]] for r in made(df, ["identifier"], levels).collect()}
+        for made in (exact_quantiles, quantile_aggregates)
+    )
+    assert found == want and len(found) == 5
+    assert exact_quantiles(df.limit(0), ["identifier"], levels).count() == 0
+
+
+def test_exact_quantiles_of_one_group_spread(spark):
+    """All rows in one group: no stage above the counts brings it together."""
+    df = spark.range(20_000).select(F.lit("all").alias("identifier"), (F.col("id") * 7919 % 20_011).cast("double").alias("metric"))
+    found = exact_quantiles(df, ["identifier"], ["0.50"])
+    assert found.first()["p50"] == df.agg(F.percentile("metric", F.lit(0.5))).first()[0]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "collect" not in plan
+    assert not re.search(r"Window \[[^]]*\], \[identifier", plan)
+
+
 def test_running_total(spark):
     points = [("a", START + timedelta(days=i), float(i)) for i in range(5)]
     totals = running_total(spark.createDataFrame(points, SCHEMA), ["identifier"])
