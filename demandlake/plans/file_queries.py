@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from demandlake.operators import views
+from demandlake.operators.manifest import content_sums, signature_of_sums
 from demandlake.plans import history_queries as h
 from demandlake.plans import tables as t
 from demandlake.plans.consolidation import resolve_sources, run_consolidation
@@ -13,7 +14,7 @@ from demandlake.session import work_folder, written
 from demandlake.sources import csv, signatures, tables
 from demandlake.spec import ITEM_METADATA, RELATED_TIME_SERIES, TARGET_TIME_SERIES, DatasetSpec
 from demandlake.streaming.arrivals import start_ingest
-from demandlake.streaming.deliveries import Intake, current_buckets, current_rows, take_in
+from demandlake.streaming.deliveries import FILES, Intake, current_buckets, current_datasets, current_rows, take_in
 from demandlake.streaming.run_state import RunState
 
 LINE_SPEC = DatasetSpec.of("RETAIL", item_id="string", timestamp="timestamp", location="string", demand="float")
@@ -263,6 +264,39 @@ def ingest_stream(spark, sf):
     return target.select(columns).unionByName(related.select(columns)).unionByName(metadata.select(columns))
 
 
+@query(
+    "signatures_kept",
+    """SELECT 1 AS delivery, count(*) AS "lines", 20 AS files_read, true AS like_a_full_reading FROM lineitem WHERE l_linestatus = 'F'
+       UNION ALL SELECT 2, count(*), 1, true FROM lineitem""",
+)
+def signatures_kept(spark, sf):
+    """A delivery of twenty parts gets one more: its signature is added up from what is kept of the twenty.
+
+    Both signatures are held against one reading of all lines.
+    """
+    base = work_folder(spark, "signatures")
+    intake = _intake(base)
+    lines = _lines(spark, sf, F.col("l_linestatus").alias("part"))
+    delivered = f"{base}/train/demand.csv"
+    width = intake.widest
+    results, before = None, None
+    for delivery, rows in ((1, lines.where("part = 'F'").repartition(20)), (2, lines.where("part = 'O'").coalesce(1))):
+        rows.drop("part").write.mode("append").csv(delivered)
+        version = take_in(spark, intake)
+        files = intake.tables(spark).read("files", version, FILES)
+        read = files if before is None else files.join(before, ["file", "modified"], "left_anti")
+        full = content_sums(spark.read.schema(width).csv(delivered), [], width.fieldNames())
+        signed = full.withColumn("full", signature_of_sums()).select("full", "lines")
+        kept = current_datasets(spark, intake).select(F.col("signature").alias("full"), F.lit(True).alias("like"))
+        row = signed.join(kept, "full", "left").select(
+            F.lit(delivery).alias("delivery"), "lines", F.lit(read.count()).alias("files_read"),
+            F.coalesce("like", F.lit(False)).alias("like_a_full_reading"),
+        )
+        row = written(row, "signed")
+        results, before = row if results is None else results.unionByName(row), files.select("file", "modified")
+    return results
+
+
 @query(
     "arrival_decisions",
     """WITH flags AS (SELECT l_returnflag AS "group", bool_or(l_linestatus = 'O') AS changed FROM lineitem GROUP BY 1)
