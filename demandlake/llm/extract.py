@@ -44,11 +44,14 @@ SIDE_NAMES = frozenset(
     "skip social sponsor sponsored subscribe subscription teaser toc toolbar topbar tracking warning widget widgets".split()
 )
 
+# What follows a tag's name, up to its end: a quote opens a value after "=" only. A value with "<" in it has to end where
+# another attribute or the end of the tag may follow; else its quote was never closed, and the tag ends at the next ">".
+_REST = r"""(?:=\s*(?:"[^"<]*"|'[^'<]*'|"[^"]*"(?=[\s/>])|'[^']*'(?=[\s/>]))|[^>])*+"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW_TAGS) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
-    r"|<(?P<end>/?)(?P<silent>" + "|".join(SILENT_TAGS) + r")(?=[\s/>])(?P<rest>(?:[^>\"']|\"[^\"<]*\"|'[^'<]*')*|[^>]*)>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    r"<!--(?:-?>|.*?(?:-->|\Z))"
+    r"|<(?P<raw>" + "|".join(RAW_TAGS) + r")(?=[\s/>])" + _REST + r">.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
+    r"|<(?P<end>/?)(?P<silent>" + "|".join(SILENT_TAGS) + r")(?=[\s/>])(?P<rest>" + _REST + r")>"
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>" + _REST + r")(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
@@ -218,10 +221,48 @@ LABELLED_PAGES = [
 ]
 
 
-def labelled_table() -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the blocks of ``LABELLED_PAGES``."""
+_WORDS = f"{_LONG} {_MORE}".replace(",", "").replace(".", "").split()
+
+
+def _plain(sizes: list[int]) -> str:
+    """Paragraphs of main text of some numbers of words."""
+    return "".join(f"<p>+{' '.join((_WORDS * 3)[at : at + size])}.</p>" for at, size in enumerate(sizes))
+
+
+# Articles whose paragraphs are short before and after short and long ones, with and without a heading or anything around.
+_SIZES = [[8, 40, 10, 1, 12, 2, 45, 6, 30, 9], [3, 60, 5, 7, 2, 11, 50], [10, 9, 8], [1, 30, 4, 14, 13, 20, 1], [55, 6], [6, 55], [2, 10, 3, 8]]
+LABELLED_PAGES += [
+    f"<html><body>{before}<article>{head}{_plain(sizes)}</article>{after}</body></html>"
+    for sizes in _SIZES
+    for before, head, after in (
+        ("<nav><a>-Home</a> <a>-News</a></nav>", "<h1>+Ebb and flood</h1>", "<footer>-The paper</footer>"),
+        ("", "", ""),
+        (f"<aside><p>-{_LONG}</p></aside>", "", f"<div class='comments'><p>-{_MORE}</p><p>-Yes.</p></div>"),
+    )
+]
+# Pages that name no parts: long blocks of links are not text, short ones between long ones are.
+_LINKS = "<a>-Home and news</a> <a>-Weather and tides</a> <a>-Boats for sale</a> <a>-All letters</a> <a>-The old archive of the paper</a> <a>-Jobs</a> <a>-Terms</a>"
+LABELLED_PAGES += [
+    f"<html><body><div>{_LINKS} {_LINKS}</div><h1>+Low water</h1><p>+{_LONG}</p><p>+She left.</p><p>+{_MORE}</p><p>+So it was.</p><p>+{_LONG}</p><div>{_LINKS}</div></body></html>",
+    f"<html><body><p>+{_MORE}</p><p>+No.</p><p>+{_LONG}</p><p>+Nobody asked.</p><p>+{_MORE}</p><div>{_LINKS} {_LINKS}</div><p>-Contact</p></body></html>",
+]
+
+# Pages that the tree has not seen: what doesn't help on them is cut off.
+HELD_OUT_PAGES = [
+    f"<html><body><nav><a>-Start</a> <a>-Shop</a></nav><main><h1>+Boats</h1>{_plain([5, 35, 7, 9, 2])}<ul><li>+two oars</li></ul></main><footer>-Imprint</footer></body></html>",
+    f"<html><body><div class='content'>{_plain([12, 4, 25, 11, 6])}</div><div class='share'><p>-Tell others</p></div><aside><p>-{_MORE}</p></aside></body></html>",
+    f"<html><body><ul><li><a>-Home</a></li><li><a>-Tides</a></li></ul><h2>+Low water</h2><p>+{_LONG}</p><p>+{_MORE}</p><p><a>-Next</a></p></body></html>",
+    f"<html><body><article>{_plain([9, 10, 8, 44, 3])}<p>+See <a>the list of boats</a></p></article><form><p>-Your name</p></form></body></html>",
+    f"<html><body><div><a>-Home</a> <a>-All letters</a></div><p>+{_MORE}</p><p>+{_LONG} <a>as told</a></p><div><a>-Terms of use</a></div></body></html>",
+    f"<html><body><div>{_LINKS}</div><p>+{_LONG}</p><p>+And then?</p><p>+{_MORE} <a>as told</a></p><div>{_LINKS} {_LINKS}</div></body></html>",
+    f"<html><body><div><a>-Start</a></div><div>{_LINKS} {_LINKS}</div><h2>+Low water</h2><p>+{_MORE}</p><p>+It rained.</p><p>+{_LONG}</p><p>-Imprint</p></body></html>",
+]
+
+
+def labelled_table(pages: list[str] = LABELLED_PAGES) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the blocks of labelled pages."""
     rows, labels = [], []
-    for page in LABELLED_PAGES:
+    for page in pages:
         found = blocks(page)
         rows.append(features(found))
         labels += [b.text.startswith("+") for b in found]
@@ -280,9 +321,28 @@ def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 8) -> DecisionTree:
     return DecisionTree(table[:, 0].astype(int), table[:, 1], table[:, 2].astype(int), table[:, 3])
 
 
+def pruned(tree: DecisionTree, rows: np.ndarray, labels: np.ndarray) -> DecisionTree:
+    """The tree with every split made a leaf that does not lessen the errors on some rows it was not grown on."""
+    feature = tree.feature.copy()
+
+    def errors(node: int, chosen: np.ndarray) -> int:
+        alone = int((labels[chosen] != (tree.value[node] >= 0.5)).sum())
+        if feature[node] < 0:
+            return alone
+        over = rows[chosen, feature[node]] > tree.threshold[node]
+        split = errors(node + 1, chosen[~over]) + errors(int(tree.right[node]), chosen[over])
+        if alone <= split:
+            feature[node] = -1
+            return alone
+        return split
+
+    errors(0, np.arange(len(rows)))
+    return DecisionTree(feature, tree.threshold, tree.right, tree.value)
+
+
 @lru_cache(maxsize=1)
 def trained() -> DecisionTree:
-    return grow(*labelled_table())
+    return pruned(grow(*labelled_table()), *labelled_table(HELD_OUT_PAGES))
 
 
 # ----------------------------------------------------------------- operator
