@@ -68,7 +68,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def contexts(words: list[bytes], span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each context: hash of its anchor, hash of its words, first window, number of windows."""
+    """Of each context: hash of its anchor, hash of its words, first window, number of windows.
+
+    Contexts are alike if both hashes are, 128 bits together.
+    """
     n = len(words)
     if n < span:
         none = np.empty(0, np.int64)
@@ -94,7 +97,7 @@ def contexts(words: list[bytes], span: int = SPAN) -> tuple[np.ndarray, np.ndarr
     anchor = value[best[first]]
     place = (best[first] - first).astype(np.uint64)
     content = of_range(first, first + many + (span - 1))
-    content = _mixed(content + place * _STEP) >> np.uint64(24)
+    content = _mixed(content + place * _STEP)
     return anchor.view(np.int64), content.view(np.int64), first, many
 
 
