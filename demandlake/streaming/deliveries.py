@@ -8,7 +8,8 @@ delivery that haven't changed are taken over from the version before. A delivery
 that is there already changes nothing.
 
 A run that fails leaves no trace that anyone reads, and the next one takes its place; so a run can be
-repeated at any time, by a scheduler or a stream that only gives the beat.
+repeated at any time, by a scheduler or a stream that only gives the beat. One run at a time: two that write the
+same version would be in each other's way.
 """
 
 from __future__ import annotations
@@ -214,7 +215,7 @@ def cleaned_rows(staged: DataFrame, headers: Sequence[tuple[str, int]], intake:
 def take_in(spark: SparkSession, intake: Intake) -> int:
     """Take in what has changed in the folder; the version that is published then, or the one that was.
 
-    Nothing is written where no file differs from the manifest. Otherwise the steps are: stage the
+    Nothing but the listing is written where no file differs from the manifest. Otherwise the steps are: stage the
     changed files, sign them, write rows of the datasets with new content, bucket those of target
     series, and write manifest and pointers, all under the next version; then publish it.
     """
