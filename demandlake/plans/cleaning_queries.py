@@ -78,16 +78,16 @@ def related(spark, sf):
         GROUP BY ALL""",
 )
 def domains(spark, sf):
-    """Total demand per part, once in the field names of each domain; the totals are computed once."""
-    totals = (
-        t.table(spark, sf, "lineitem")
-        .groupBy(F.col("l_partkey").cast("string").alias("item"))
-        .agg(F.sum("l_quantity").alias("total"))
-    )
+    """Total demand per part, once in the field names of each domain; the totals are computed once.
+
+    Parts become text after the totals only: frames that are still dealt by their identifier would be united
+    partition by partition, and one task would read the totals of all domains.
+    """
+    totals = t.table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").alias("total"))
     frames = []
     for domain, (identifier, target) in DOMAINS.items():
         spec = DatasetSpec.of(domain, **{identifier: "string", target: "float"})
-        named = totals.select(F.col("item").alias(identifier), F.col("total").alias(target))
+        named = totals.select(F.col("l_partkey").cast("string").alias(identifier), F.col("total").alias(target))
         frames.append(normalize_names(named, spec).withColumn("domain", F.lit(domain)))
     return reduce(lambda a, b: a.unionByName(b), frames)
 

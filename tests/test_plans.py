@@ -11,6 +11,7 @@ from demandlake.operators.bucket import bucket
 from demandlake.operators.clean import clean_input
 from demandlake.operators.running import positions, slices
 from demandlake.plans import tables as t
+from demandlake.spec import DOMAINS
 
 
 def plan_of(df):
@@ -139,6 +140,11 @@ def test_totals_of_all_domains_are_computed_once(spark, sf):
     assert count(final, "ReusedExchange") == 6
 
 
+def test_domains_are_not_read_by_one_task_together(spark, sf):
+    """Each domain has tasks of its own, which read the totals once."""
+    assert entry.queries()["domain_normalize"](spark, sf).rdd.getNumPartitions() >= len(DOMAINS)
+
+
 def test_series_and_factors_meet_by_two_numbers(spark, sf):
     """With a sort-merge join: its keys are the number of a seasonality and the piece of the calendar."""
     from demandlake.plans.generation import expected_series
