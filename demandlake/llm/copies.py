@@ -1,9 +1,10 @@
 """One document of each group of copies: sets of word shingles with a Jaccard similarity of 0.8.
 
-Documents with equal sets are one node. Candidates share a band of a MinHash signature; every
-candidate is verified on the whole sets before it links anything, so what a component
-holds is connected by verified pairs alone. Two sets at the threshold itself miss each other in all
-bands once in 300,000 times, more similar ones less often.
+Documents with equal sets are one node. Candidates are SimHash links, fingerprints that differ in few bits
+(``simhash``); every candidate is verified on the whole sets before it links anything, so what a component
+holds is connected by verified pairs alone. Fingerprints are a strict bound that many similar sets
+don't keep. These are found by the bands of a MinHash signature and by rare shingles: two sets at the threshold
+itself miss each other in all bands once in 300,000 times, more similar ones less often.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandlake.llm import simhash
 from demandlake.llm.components import components
 from demandlake.llm.rows import per_batch, written
 
@@ -82,24 +84,25 @@ def _signed(numbers: list[int]) -> pa.Array:
 
 
 def _signatures(narrow: DataFrame, words: int) -> DataFrame:
-    """``doc_id``, ``content`` (hash of the set), ``size`` of the set and ``keys`` of its bands for every row."""
+    """``doc_id``, ``bits`` (the fingerprint), ``content`` (hash of the set), ``size`` of the set and ``keys`` of its bands for every row."""
 
     def make():
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-            content, sizes, keys = [], [], []
+            bits, content, sizes, keys = [], [], [], []
             for text in batch.column("text").to_pylist():
+                bits.append(simhash.fingerprint(text))
                 hashes = shingles(text, words)
                 content.append(_content(hashes))
                 sizes.append(len(hashes))
                 keys.append(bands(hashes).view(np.uint64))
             return pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), _signed(content), pa.array(sizes, pa.int64()), _lists(keys)],
-                ["doc_id", "content", "size", "keys"],
+                [batch.column("doc_id"), _signed(bits), _signed(content), pa.array(sizes, pa.int64()), _lists(keys)],
+                ["doc_id", "bits", "content", "size", "keys"],
             )
 
         return apply
 
-    return per_batch(narrow, make, "doc_id long, content long, size long, keys array<long>")
+    return per_batch(narrow, make, "doc_id long, bits long, content long, size long, keys array<long>")
 
 
 def _sets(narrow: DataFrame, words: int) -> DataFrame:
@@ -142,6 +145,31 @@ def _within(one: str, two: str, similarity: float):
     return left >= needed - 1e-9
 
 
+def _sized(a: str, b: str, similarity: float):
+    """Whether sets of two sizes can be as similar as asked for."""
+    return F.least(a, b) >= F.greatest(a, b) * F.lit(similarity - 1e-9)
+
+
+def fingerprint_pairs(distinct: DataFrame, similarity: float) -> DataFrame:
+    """Candidates ``one``, ``two`` of the contents in ``distinct``, found by their fingerprints.
+
+    Contents with one fingerprint are paired with the smallest of them, and the smallest of two fingerprints
+    that SimHash links with each other.
+    """
+    leads = distinct.groupBy("bits").agg(F.min(F.struct("content", "size")).alias("lead")).select("bits", "lead.*")
+    leads = written(leads, "fingerprints")
+
+    def lead(name: str) -> DataFrame:
+        return leads.select(*[F.col(c).alias(f"{name}{more}") for c, more in (("bits", "_bits"), ("content", ""), ("size", "_size"))])
+
+    rows = distinct.select(F.col("bits").alias("one_bits"), F.col("content").alias("two"), F.col("size").alias("two_size"))
+    same = rows.join(lead("one"), "one_bits").where(F.col("one") != F.col("two"))
+    linked = simhash.links(leads.select("bits")).toDF("one_bits", "two_bits").distinct()
+    near = linked.join(lead("one"), "one_bits").join(lead("two"), "two_bits")
+    pairs = same.select("one", "two", "one_size", "two_size").unionByName(near.select("one", "two", "one_size", "two_size"))
+    return pairs.where(_sized("one_size", "two_size", similarity)).select("one", "two")
+
+
 def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
     """``content``, ``size``, ``hash`` and ``at``: the places of the shingles by which a similar set is found.
 
@@ -167,32 +195,31 @@ def _side(rows: DataFrame, name: str) -> DataFrame:
 def verified_links(distinct: DataFrame, narrow: DataFrame, words: int, similarity: float) -> DataFrame | None:
     """``node`` and ``root`` of sets connected by verified candidates; nothing if there is no candidate.
 
-    ``distinct`` holds each content once, with its ``first`` identifier, ``size`` and ``keys``. Members of
-    a bucket are first compared with its smallest. Buckets of sets that are then not connected are gone
+    ``distinct`` holds each content once, with its ``first`` identifier, ``bits``, ``size`` and ``keys``. What
+    SimHash links is compared, and members of a bucket with its smallest. Buckets of sets that are then not connected are gone
     through by the rare shingles of their sets: sets that have one of them in common are compared with the one
     that it comes earliest in, and what is still not connected with each other. Pairs that are left
     out are connected already or have too few shingles left to be similar, so components are
     those of all candidates.
     """
-
-    def sized(a: str, b: str):
-        return F.least(a, b) >= F.greatest(a, b) * F.lit(similarity - 1e-9)
-
     keyed = distinct.select("content", "size", F.explode("keys").alias("key"))
     leads = keyed.groupBy("key").agg(F.min(F.struct("content", "size")).alias("lead"), F.count(F.lit(1)).alias("n"))
     leads = leads.where("n > 1").select("key", F.col("lead.content").alias("one"), F.col("lead.size").alias("one_size"))
     members = written(keyed.join(leads, "key"), "members")
-    if not members.take(1):
+    near = members.where(F.col("content") != F.col("one")).where(_sized("size", "one_size", similarity))
+    star = near.select("one", F.col("content").alias("two"))
+    star = written(fingerprint_pairs(distinct, similarity).unionByName(star).distinct(), "candidates")
+    paired = star.select(F.explode(F.array("one", "two")).alias("content"))
+    compared = members.select("content").unionByName(paired).distinct()
+    if not compared.take(1):
         return None
-    firsts = distinct.join(members.select("content").distinct(), "content", "left_semi").select(
+    firsts = distinct.join(compared, "content", "left_semi").select(
         F.col("first").alias("__first"), F.col("content").alias("__content")
     )
     texts = narrow.join(firsts.select("__first").distinct(), F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
     sets = _sets(texts, words).join(firsts, F.col("content") == F.col("__content"), "left_semi")
     sets = written(sets.dropDuplicates(["content"]), "sets")
 
-    near = members.where(F.col("content") != F.col("one")).where(sized("size", "one_size"))
-    star = near.select("one", F.col("content").alias("two")).distinct()
     found = written(_verified(star, sets, similarity), "verified")
     nodes = components(found)
 
@@ -235,7 +262,7 @@ def keep_one(
     )
     prints = written(_signatures(narrow, words), "signatures")
     distinct = prints.groupBy("content").agg(
-        F.min("doc_id").alias("first"), F.min("size").alias("size"), F.min("keys").alias("keys")
+        F.min("doc_id").alias("first"), F.min("bits").alias("bits"), F.min("size").alias("size"), F.min("keys").alias("keys")
     )
     distinct = written(distinct, "distinct")
     nodes = verified_links(distinct, narrow, words, similarity)

@@ -204,6 +204,22 @@ def test_copies_that_are_not_like_the_smallest_of_their_bucket(spark):
     assert {r["doc_id"] for r in copies.keep_one(frame).collect()} == want
 
 
+def test_copies_are_found_by_their_fingerprints(spark, monkeypatch):
+    """Without any band, documents whose fingerprints SimHash links are compared, and these only."""
+    rng = random.Random(13)
+    texts, near = [], []
+    for i in range(100):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        texts += [" ".join(words), " ".join(words + ["end"])]
+        if (simhash.fingerprint(texts[-1].encode()) ^ simhash.fingerprint(texts[-2].encode())).bit_count() <= 3:
+            near.append(2 * i + 1)
+    assert len(near) > 50
+    monkeypatch.setattr(copies, "bands", lambda hashes: np.empty(0, np.int64))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    kept = {r["doc_id"] for r in copies.keep_one(frame).collect()}
+    assert kept == set(range(200)) - set(near)
+
+
 @pytest.fixture
 def candidates(monkeypatch):
     """Numbers of candidate pairs, as they are verified."""
