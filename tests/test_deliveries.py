@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from demandlake.spec import ITEM_METADATA, RELATED_TIME_SERIES, TARGET_TIME_SERIES, DatasetSpec
 from demandlake.streaming import deliveries
@@ -152,6 +153,23 @@ def test_each_file_has_its_own_header(place):
     assert [r[1] for r in found if r[0] == "part"] == sorted(f"i{n}" for n in range(20))
 
 
+def test_first_lines_are_found_without_a_shuffle_of_lines(place, tmp_path, monkeypatch):
+    """Lines are joined with a table of known size, which holds a row per file."""
+    for name in ("demand.csv", "other.csv"):
+        place.put(name, *[f"item {i},2020-01-01 00:00:00,A,{i}" for i in range(1000)])
+    staged = deliveries.stage(place.spark, place.intake, [str(place.folder / name) for name in ("demand.csv", "other.csv")])
+    plans, join = [], DataFrame.join
+
+    def watched(self, *more, **named):
+        joined = join(self, *more, **named)
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return joined
+
+    monkeypatch.setattr(type(staged), "join", watched)
+    assert deliveries.header_lines(staged, place.intake) == []
+    assert len(plans) == 1 and "BroadcastHashJoin" in plans[0] and "hashpartitioning" not in plans[0]
+
+
 def test_a_failed_run_is_not_seen_and_repeated(place, monkeypatch):
     place.put("demand.csv", "i,2000-01-05,x,1")
     place.run()
