@@ -15,8 +15,9 @@ from pyspark.sql.window import Window, WindowSpec
 
 from demandlake.session import work_folder
 
-# A running row number holds the task in its upper bits and the row of the task in these.
-_ROW_BITS = 33
+# A running row number holds the task in its upper bits and the row of the task in the lower ones. What is above
+# these is the slice: a task's rows are cut into slices of so many at most, however few tasks there are.
+_ROW_BITS = 19
 _PART, _ROW, _TIE = "_part", "_row", "_tie"
 
 
@@ -44,6 +45,13 @@ def slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataF
     return stored.withColumn(_PART, part).withColumn(_ROW, F.col(_ROW).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
 
 
+def _dealt(sliced: DataFrame) -> DataFrame:
+    """``sliced`` dealt out by slice and key, to more tasks than usual where these would hold many slices each."""
+    tasks = -(-sliced.count() // (1 << _ROW_BITS))
+    usual = int(sliced.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sliced.repartition(tasks, _PART) if tasks > usual else sliced
+
+
 def _earlier(keys: Sequence[str]) -> WindowSpec:
     """For one row per slice and key: the slices before this one that hold rows of the key."""
     own = Window.partitionBy(*[F.col(f"{_PART}.`{k}`") for k in keys]).orderBy(f"{_PART}.slice")
@@ -60,7 +68,7 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], posit
     counted = sliced.groupBy(_PART).agg(F.min(_ROW).alias("_first"), F.count(F.lit(1)).alias("_rows"))
     before = F.coalesce(F.sum("_rows").over(_earlier(keys)), F.lit(0))
     shifted = counted.select(_PART, (before - F.col("_first") + 1).alias("_shift"))
-    return sliced.join(shifted, _PART).select(*_all(df), (F.col(_ROW) + F.col("_shift")).alias(position))
+    return _dealt(sliced).join(shifted, _PART).select(*_all(df), (F.col(_ROW) + F.col("_shift")).alias(position))
 
 
 def running_total(
@@ -78,7 +86,7 @@ def running_total(
     here = F.sum(value).over(within)
     zero = F.lit(0)
     total = F.coalesce(F.coalesce("_before", zero) + here, "_before")
-    return sliced.join(before, _PART).withColumn("cumulative", total).select(*_all(df), "cumulative")
+    return _dealt(sliced).join(before, _PART).withColumn("cumulative", total).select(*_all(df), "cumulative")
 
 
 def rank_newest_first(

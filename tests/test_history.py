@@ -199,6 +199,20 @@ def test_running_total_over_many_slices_and_nulls(spark):
     assert running_total(spark.createDataFrame([], SCHEMA), ["identifier"]).count() == 0
 
 
+def test_slices_are_bounded_however_few_tasks_there_are(spark, monkeypatch):
+    """Slices of 64 rows at most: more of them than tasks, which are then raised in number; totals and ranks stay."""
+    from demandlake.operators import running
+
+    monkeypatch.setattr(running, "_ROW_BITS", 6)
+    df = spark.range(5000).select(F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("k"), F.col("id").alias("timestamp"), F.lit(1).alias("metric"))
+    sliced = running.slices(df, ["k"], [F.col("timestamp").asc()])
+    assert sliced.groupBy("_part.slice").count().agg(F.max("count")).first()[0] == 64
+    assert running._dealt(sliced).rdd.getNumPartitions() == 79
+    totals = running.running_total(df, ["k"]).join(running.positions(df, ["k"], [F.col("timestamp").asc()]), ["k", "timestamp"])
+    assert totals.where("cumulative = position").count() == 5000
+    assert totals.select("k", "position").distinct().count() == 5000
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_rank_with_a_hot_key_ties_and_nulls(spark, seed):
     rng = random.Random(seed)
