@@ -1,13 +1,16 @@
 """Header detection, listings, the month table, the stream, the shared folder."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from demandlake.plans import file_queries
+from demandlake.plans.registry import QUERIES
 from demandlake.session import work_folder
 from demandlake.sources import csv, tables
-from demandlake.sources.signatures import file_signatures
+from demandlake.sources.signatures import dataset_signatures, file_signatures
 from demandlake.spec import ITEM_METADATA, RELATED_TIME_SERIES, DatasetSpec
 from demandlake.streaming.arrivals import SideTable, rebuild_batch, start_ingest
 
@@ -73,6 +76,30 @@ def test_file_signatures(spark, tmp_path):
     assert set(signed()) == {"a"}
 
 
+def test_datasets_that_share_files_are_signed_each(spark, tmp_path):
+    content = [f"{'ab'[i % 2]},item_{i},{i}\n" for i in range(200)]
+
+    def signed(*parts):
+        for number, part in enumerate(parts):
+            (tmp_path / f"part-{number}.csv").write_text("".join(part))
+        found = dataset_signatures(spark, str(tmp_path), ["key", "item_id", "demand"], "key")
+        return {r.key: r.signature for r in found.collect()}
+
+    before = signed(content[:50], content[50:])
+    assert set(before) == {"a", "b"} and before["a"] != before["b"]
+    assert signed(content[:20:-1], content[20::-1]) == before
+    after = signed(content[:50], [line.replace("item_60,", "item_x,") for line in content[50:]])
+    assert after["a"] != before["a"] and after["b"] == before["b"]
+
+
+def test_signed_files_do_not_grow_with_the_suppliers(spark, sf, monkeypatch):
+    folders = []
+    monkeypatch.setattr(file_queries, "work_folder", lambda s, label: folders.append(work_folder(s, label)) or folders[-1])
+    found = QUERIES["file_signatures"](spark, sf).count()
+    files = [f for folder in folders for f in Path(folder).rglob("*.csv")]
+    assert found >= 10 and len(folders) == 2 and 0 < len(files) < found
+
+
 def test_export_parts_with_another_column_order_fail(spark, tmp_path):
     (tmp_path / "part-1.csv").write_text("item_id,p10,p90\na,1,9\n")
     (tmp_path / "part-2.csv").write_text("item_id,p90,p10\na,9,1\n")
