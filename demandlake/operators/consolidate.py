@@ -77,12 +77,14 @@ def consolidate(
     metadata: DataFrame | None = None,
     metadata_spec: DatasetSpec | None = None,
     backtest_rows: DataFrame | None = None,
+    wide: bool = True,
 ) -> DataFrame:
     """The consolidated table: bucketed history up to the backtest, backtest, forecast, metadata.
 
     Generic numbers are given in the order history, forecast, backtest, metadata. The
     cutoff of the history comes from ``backtest_rows`` if given: the backtest before its
     duplicates went, whose earliest timestamp is the same and takes no shuffle to find.
+    Without ``wide`` there are only the columns that any frame has, for ``to_wide`` to be applied later.
     """
     names = GenericNames.for_spec(target_spec, metadata_spec)
     for frame in (history, forecast, backtest):
@@ -100,7 +102,7 @@ def consolidate(
         combined = join_metadata(
             combined, metadata.withColumnsRenamed(names.metadata_renames(metadata.columns))
         )
-    return to_wide(combined).withColumn("month_starting", month_starting("timestamp"))
+    return (to_wide(combined) if wide else combined).withColumn("month_starting", month_starting("timestamp"))
 
 
 def quantile_columns(columns: list[str]) -> list[str]:

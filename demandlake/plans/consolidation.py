@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from demandlake.operators.bucket import bucket
 from demandlake.operators.clean import clean_export, clean_input, map_export
-from demandlake.operators.consolidate import consolidate
+from demandlake.operators.consolidate import consolidate, to_wide
 from demandlake.operators.manifest import newest
 from demandlake.functions.text import is_active
 from demandlake.sources.csv import first_existing, read_dataset, read_export
@@ -104,10 +104,12 @@ def consolidated(
     frequency: str | None = None,
     dimensions: Sequence[str] | None = None,
     metadata_spec: DatasetSpec | None = None,
+    wide: bool = True,
 ) -> DataFrame:
     """The consolidated frame of one group; lazy, apart from looking at headers.
 
-    Frequency and dimensions are those of the sources' predictor where they are not given.
+    Frequency and dimensions are those of the sources' predictor where they are not given. Without ``wide``
+    there are only the columns that are there.
     """
     frequency, dimensions = _settings(sources, frequency, dimensions)
     history = bucket(
@@ -127,6 +129,7 @@ def consolidated(
         metadata,
         metadata_spec,
         backtest_rows=map_export(raw_backtest, target_spec, backtest=True),
+        wide=wide,
     )
 
 
@@ -156,10 +159,10 @@ def run_consolidation(
     """
     sources = at_hand(spark, sources, cache) if cache else sources
     frequency, dimensions = _settings(sources, frequency, dimensions)
-    wide = consolidated(spark, sources, target_spec, frequency, dimensions, metadata_spec)
+    rows = consolidated(spark, sources, target_spec, frequency, dimensions, metadata_spec, wide=False)
     order = ("identifier", *(f"dimension_{i}" for i in range(1, len(dimensions) + 1)), "timestamp")
     if publish:
         if not path:
             raise ValueError("a published table needs a path")
-        return publish_by_month(wide, table, path, order)
-    return write_by_month(wide, table, path, order)
+        return publish_by_month(rows, table, path, order, to_wide)
+    return write_by_month(rows, table, path, order, to_wide)

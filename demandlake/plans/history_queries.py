@@ -183,7 +183,7 @@ CONSOLIDATED_SQL = f"""
 
 
 @query("consolidate", CONSOLIDATED_SQL)
-def consolidated(spark, sf):
+def consolidated(spark, sf, wide=True):
     """History up to the backtest, backtest, forecast and metadata in the wide schema."""
     return c.consolidate(
         weekly(spark, sf),
@@ -193,6 +193,7 @@ def consolidated(spark, sf):
         t.metadata(spark, sf),
         t.METADATA_SPEC,
         backtest_rows=t.backtest_rows(spark, sf),
+        wide=wide,
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
@@ -13,17 +14,29 @@ from demandlake.sources.versions import VersionedTables
 PARTITION = "month_starting"
 
 
+def _laid_out(df: DataFrame, order: tuple[str, ...], widen: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """Rows by month and in order, and only then with the columns that ``widen`` adds, so these are neither shuffled nor sorted.
+
+    Of ``order`` the columns that ``widen`` adds are left out, as they are the same in all rows.
+    """
+    rows = df.hint("rebalance", F.col(PARTITION)).sortWithinPartitions(PARTITION, *[c for c in order if widen is None or c in df.columns])
+    return rows if widen is None else widen(rows)
+
+
 def write_by_month(
-    df: DataFrame, table: str, path: str | None = None, order: tuple[str, ...] = ("identifier", "timestamp")
+    df: DataFrame,
+    table: str,
+    path: str | None = None,
+    order: tuple[str, ...] = ("identifier", "timestamp"),
+    widen: Callable[[DataFrame], DataFrame] | None = None,
 ) -> str:
     """Write a catalog table partitioned by ``month_starting``.
 
     The rebalance hint lets the runtime split a month that holds most of the data over
     several tasks and merge months that hold little, so neither one task per month nor
-    one file per task and month comes out.
+    one file per task and month comes out. ``widen`` projects rows to the columns to be written.
     """
-    laid_out = df.hint("rebalance", F.col(PARTITION)).sortWithinPartitions(PARTITION, *order)
-    writer = laid_out.write.mode("overwrite").format("parquet").partitionBy(PARTITION)
+    writer = _laid_out(df, order, widen).write.mode("overwrite").format("parquet").partitionBy(PARTITION)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
@@ -31,7 +44,11 @@ def write_by_month(
 
 
 def publish_by_month(
-    df: DataFrame, table: str, path: str, order: tuple[str, ...] = ("identifier", "timestamp")
+    df: DataFrame,
+    table: str,
+    path: str,
+    order: tuple[str, ...] = ("identifier", "timestamp"),
+    widen: Callable[[DataFrame], DataFrame] | None = None,
 ) -> str:
     """Write a table by month under a run folder of its own, and switch the view ``table`` to it at the end.
 
@@ -44,12 +61,12 @@ def publish_by_month(
     version = store.current() + 1
     sent = Observation()
     counted = df.observe(sent, F.count(F.lit(1)).alias("rows"))
-    laid_out = counted.hint("rebalance", F.col(PARTITION)).sortWithinPartitions(PARTITION, *order)
+    laid_out = _laid_out(counted, order, widen)
     store.write(laid_out, "months", version, PARTITION)
-    stored = spark.read.schema(df.schema).parquet(store.folder("months", version)).count()
+    stored = spark.read.schema(laid_out.schema).parquet(store.folder("months", version)).count()
     if stored != sent.get["rows"]:
         raise ValueError(f"{stored} rows in {store.folder('months', version)}, {sent.get['rows']} were written")
-    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema.fields)
+    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in laid_out.schema.fields)
     spark.sql(f"CREATE OR REPLACE VIEW `{table}` AS SELECT {columns} FROM parquet.`{store.folder('months', version)}`")
     store.publish(version)
     if version > 2:

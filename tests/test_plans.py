@@ -9,8 +9,11 @@ import __spark_entry__ as entry
 
 from demandlake.operators.bucket import bucket
 from demandlake.operators.clean import clean_input
+from demandlake.operators.consolidate import to_wide
 from demandlake.operators.running import positions, slices
+from demandlake.plans import history_queries as h
 from demandlake.plans import tables as t
+from demandlake.sources import tables
 from demandlake.spec import DOMAINS
 
 
@@ -178,3 +181,17 @@ def test_series_and_factors_meet_by_two_numbers(spark, sf):
     turned = plain.withColumn("hourly", F.reverse("hourly"))
     apart = [rates(plain.where(~big)), rates(turned.where(big))]
     assert [round(x, 3) for x in rates(two)] == [round(a + b, 3) for a, b in zip(*apart, strict=True)]
+
+
+def test_columns_without_values_are_neither_shuffled_nor_sorted(spark, sf):
+    """A sorter that holds rows of 125 columns takes a kilobyte a row, nearly all of it nulls."""
+    laid_out = tables._laid_out(h.consolidated(spark, sf, wide=False), ("identifier", "dimension_2", "timestamp"), to_wide)
+    assert laid_out.columns == h.consolidated(spark, sf).columns and len(laid_out.columns) == 124
+
+    def nodes(plan):
+        below = plan.children()
+        return [plan, *(n for i in range(below.size()) for n in nodes(below.apply(i)))]
+
+    found = nodes(laid_out._jdf.queryExecution().optimizedPlan())
+    widths = [n.output().size() for n in found if n.nodeName() in ("Sort", "RebalancePartitions")]
+    assert len(widths) == 2 and max(widths) < 20
