@@ -42,8 +42,12 @@ def file_prefix(key: Column) -> Column:
 
 
 def delivered_file(path: Column) -> Column:
-    """The file or folder that was delivered: the path up to its first part named ``*.csv``."""
-    return F.regexp_extract(path, r"^(.*?\.csv)(?:/.*)?$", 1)
+    """The file or folder that was delivered: the path up to its first part named ``*.csv``.
+
+    Found by a plain search, since a pattern over a long path takes longer than the parsing of a line.
+    """
+    end = F.locate(".csv/", path)
+    return F.when(end > 0, F.substring(path, F.lit(1), end + 3)).when(path.endswith(".csv"), path).otherwise("")
 
 
 def dataset_type(key: Column) -> Column:

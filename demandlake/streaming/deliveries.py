@@ -168,7 +168,7 @@ def header_lines(staged: DataFrame, intake: Intake) -> list[tuple[str, int]]:
     firsts = start.groupBy("file").agg(F.min("line").alias("line")).collect()
     firsts = staged.sparkSession.createDataFrame(firsts, "file string, line long")
     found, unsure = [], {}
-    for row in start.join(firsts, ["file", "line"]).collect():
+    for row in start.join(F.broadcast(firsts), ["file", "line"]).collect():
         fields, at = intake.specs[row["dataset_type"]].fields, (row["file"], row["line"])
         names = _text(row, len(fields)).split(",")
         if sorted(names) == sorted(fields):
@@ -178,7 +178,7 @@ def header_lines(staged: DataFrame, intake: Intake) -> list[tuple[str, int]]:
     if unsure:
         heads = staged.sparkSession.createDataFrame(list(unsure), "file string, first long")
         within = F.col("line").between(F.col("first"), F.col("first") + SAMPLE_LINES - 1)
-        for row in start.join(heads, "file").where(within).orderBy("line").collect():
+        for row in start.join(F.broadcast(heads), "file").where(within).orderBy("line").collect():
             fields, sample = unsure[row["file"], row["first"]]
             sample.append(_text(row, len(fields)))
     return found + [at for at, (fields, sample) in unsure.items() if looks_like_header(sample, fields)]
@@ -193,7 +193,7 @@ def cleaned_rows(staged: DataFrame, headers: Sequence[tuple[str, int]], intake:
     texts = intake.widest.fieldNames()
     if headers:
         named = staged.sparkSession.createDataFrame(list(headers), "file string, line long")
-        staged = staged.join(named, ["file", "line"], "left_anti")
+        staged = staged.join(F.broadcast(named), ["file", "line"], "left_anti")
     staged = staged.select(*texts, *_DATASET, "file")  # text columns are known by their places
     result = None
     for kind, spec in intake.specs.items():

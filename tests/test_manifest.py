@@ -239,6 +239,26 @@ def test_file_keys(spark, key, kind, name, prefix):
     assert tuple(found) == (kind, name, prefix)
 
 
+@pytest.mark.parametrize(
+    "path,delivered",
+    [
+        ("file:/in/a.csv", "file:/in/a.csv"),
+        ("file:/in/a.csv/part-0.csv", "file:/in/a.csv"),
+        ("file:/in/x.csv.d/a.related.csv/b.csv/part-0.csv", "file:/in/x.csv.d/a.related.csv"),
+        ("file:/in/a.csv.gz", ""),
+        ("file:/in/a.csv/.csv", "file:/in/a.csv"),
+        ("/.csv", "/.csv"),
+        ("", ""),
+    ],
+)
+def test_delivered_files_are_found_without_a_pattern(spark, path, delivered):
+    """It is asked for every line of a file."""
+    found = spark.createDataFrame([(path,)], "path string").select(text.delivered_file(F.col("path")).alias("d"))
+    by_pattern = F.regexp_extract(F.lit(path), r"^(.*?\.csv)(?:/.*)?$", 1)
+    assert found.first()[0] == delivered == spark.range(1).select(by_pattern).first()[0]
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_urls(spark):
     url = F.lit("s3://bucket/train/sub/a.csv")
     found = spark.range(1).select(text.url_bucket(url), text.url_key(url), text.url_folder(url), text.file_name(url)).first()
