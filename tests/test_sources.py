@@ -12,7 +12,7 @@ from demandlake.session import work_folder
 from demandlake.sources import csv, tables
 from demandlake.sources.signatures import dataset_signatures, file_signatures
 from demandlake.spec import ITEM_METADATA, RELATED_TIME_SERIES, DatasetSpec
-from demandlake.streaming.arrivals import SideTable, rebuild_batch, start_ingest
+from demandlake.streaming.arrivals import SideTable, rebuild_batch, start_ingest, without_header
 
 from conftest import rows
 
@@ -188,6 +188,15 @@ def arrive(tmp_path, name, *lines):
     (tmp_path / "train" / name).write_text("\n".join(lines) + "\n")
 
 
+def test_fields_are_sorted_only_for_lines_that_may_be_a_header(spark):
+    lines = [(*SPEC.fields,), (*reversed(SPEC.fields),), ("item_id", "item_id", "location", "demand"), ("item_id", None, "x", "1"), (None,) * 4]
+    df = spark.createDataFrame([*lines, ("a", "2000-01-01", "x", "1")], SPEC.text_struct)
+    left = without_header(df, SPEC)
+    assert left.count() == 4 and left.where("_c0 = 'item_id'").count() == 2
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("_c0", plan.index("Filter")) < plan.index("sort_array") and " IN (item_id,timestamp,location,demand)" in plan
+
+
 def test_late_files_change_the_buckets_they_touch(spark, tmp_path):
     arrive(tmp_path, "a.csv", "item_id,timestamp,location,demand", "i,2000-01-31,x,1", "i,2000-02-01,x,2", "i,2000-03-08,x,4", "i,bad,x,9")
     first = [
