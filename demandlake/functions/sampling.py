@@ -151,9 +151,27 @@ def _binomial(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iter
         yield _counts(binomial_quantiles, u, trials, chance)
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _binomials(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for u, trials, chance in batches:
+        sizes = u.map(len).to_numpy()
+        flat = [pd.Series(np.concatenate([np.empty(0), *arrays])) for arrays in (u, trials)]
+        drawn = _counts(binomial_quantiles, *flat, pd.Series(np.repeat(chance.to_numpy(float, na_value=np.nan), sizes)))
+        values = drawn.to_numpy(object, na_value=None) if drawn.hasnans else drawn.to_numpy(np.int64)
+        yield pd.Series(np.split(values, np.cumsum(sizes)[:-1]), dtype=object)
+
+
 def poisson(rate: Column, seed: int, *keys: Column | str) -> Column:
     return _poisson(uniform(seed, *keys), rate)
 
 
 def binomial(trials: Column, chance: Column, seed: int, *keys: Column | str) -> Column:
     return _binomial(uniform(seed, *keys), trials, chance)
+
+
+def binomials(uniforms: Column, trials: Column, chance: Column) -> Column:
+    """An array of counts, one for each uniform draw and its trials, all at the row's chance.
+
+    Rows without draws have empty arrays: many null ones in a row make Spark's Arrow writer slow.
+    """
+    return _binomials(uniforms, trials, chance)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlake.functions.calendar import add_periods
-from demandlake.functions.sampling import binomial, normal, poisson
+from demandlake.functions.sampling import binomials, normal, poisson, uniform
 from demandlake.spec import FREQUENCIES
 
 UNKNOWN = "unknown"
@@ -162,7 +162,7 @@ def fill_dimensions(models: DataFrame, names: Sequence[str]) -> DataFrame:
 def series_calendar(models: DataFrame, start: datetime | str, length: int, output: str) -> DataFrame:
     """Every series in every period: adds ``period`` from 0 and its ``timestamp``."""
     return (
-        _spread(_pieces(models, length), "name", "_from")
+        spread(_pieces(models, length), models.count() * length, "name", "_from")
         .select("*", F.explode_outer(F.sequence("_from", _last(length))).alias("period"))
         .drop("_from")
         .withColumn("timestamp", add_periods(F.lit(start).cast("timestamp"), output, F.col("period")))
@@ -181,12 +181,17 @@ def _last(length: int) -> Column:
     return F.least(F.col("_from") + _PIECE, F.lit(length)) - 1
 
 
-def _spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows that are few now and many later need more tasks than their size suggests.
+# Tasks have as many rows on average, so that the memory of one doesn't grow with the input.
+_TASK_ROWS = 1 << 19
+
+
+def spread(df: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """Rows that are few now and ``rows`` later need more tasks than their size suggests.
 
     Giving the number keeps adaptive execution from merging the partitions again.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-rows // _TASK_ROWS)), *columns)
 
 
 def seasonal_factor(start: Column, minutes: Column) -> Column:
@@ -236,12 +241,12 @@ def seasonal_series(models: DataFrame, start: datetime | str, length: int, outpu
         moved = F.unix_micros(origin) + (period * minutes * F.lit(60e6)).cast("bigint")
         return seasonal_factor(F.timestamp_micros(moved), minutes)
 
-    pieces = _spread(_pieces(_profiles(shaped, shape), length), "_profile", "_from")
+    pieces = spread(_pieces(_profiles(shaped, shape), length), 0, "_profile", "_from")
     factors = pieces.select("_profile", "_from", F.transform(F.sequence("_from", _last(length)), factor).alias("_factors"))
     kept = [c for c in models.columns if c not in SEASONALITY_LENGTHS]
     series = _pieces(shaped.select(*kept, "_profile"), length)
     return (
-        _spread(series.join(factors, ["_profile", "_from"]), "name", "_from")
+        spread(series.join(factors, ["_profile", "_from"]), models.count() * length, "name", "_from")
         # never empty; plain explode would have Spark test the factors before they are shared
         .select(*kept, "_from", F.posexplode_outer("_factors").alias("_position", "_factor"))
         .withColumn("period", F.col("_from") + F.col("_position"))
@@ -295,24 +300,24 @@ def draw_counts(series: DataFrame, seed: int) -> DataFrame:
     ).drop("_lambda")
 
 
-# Links are joined with counts per span of this many periods.
-_SPAN = 64
+# Links are joined with counts per span of this many periods, whose number in the span fits a byte.
+_SPAN = 128
 
 
 def apply_dependencies(
-    counts: DataFrame, models: DataFrame, dependencies: DataFrame, length: Column | int, seed: int
+    counts: DataFrame, models: DataFrame, dependencies: DataFrame, length: Column | int, seed: int, rows: int = 0
 ) -> DataFrame:
     """Add the effect of other series' counts in the same period.
 
     ``counts`` has ``name, dimensions, period, count`` with periods from 0 to below
-    ``length``. A positive chance adds a binomial share of the other series' count, a
-    negative one takes off all of it; the result is never below zero. Effects use counts
-    from before any effect.
+    ``length``, about ``rows`` of them: more are dealt to more tasks. A positive chance adds a
+    binomial share of the other series' count, a negative one takes off all of it; the result is
+    never below zero. Effects use counts from before any effect.
 
     Every series is also linked to itself, so the counts pass through one join and one
-    aggregation and are drawn once. A series that a large part of the others depend on
-    would meet all its links in one task; links are therefore repeated per span of
-    periods, a small part of the rows the join makes anyway, and joined within it.
+    aggregation and are drawn once. A link takes the counts of a span as one row with two arrays,
+    and they become rows where the influenced series is summed up: a series that a large
+    part of the others depend on meets all its links of a span in one task, in a row each.
     """
     own = models.select(
         "name", "dimensions", F.col("name").alias("_parent"), F.lit(None).cast("double").alias("_chance")
@@ -326,29 +331,43 @@ def apply_dependencies(
     links = links.select(
         "name", "dimensions", "_parent", "_chance", F.explode_outer(F.sequence(F.lit(0), F.col("_last_span"))).alias("_span")
     )
-    linked = counts.select(
-        "name", "dimensions", F.floor(F.col("period") / _SPAN).cast("int").alias("_span"), "period", "count"
-    ).join(_spread(links, "name", "dimensions", "_span"), ["name", "dimensions", "_span"])
-    chance, count = F.col("_chance"), F.col("count")
+    key = ["name", "dimensions", "_span"]
+    spans = (
+        spread(counts.withColumn("_span", F.floor(F.col("period") / _SPAN).cast("int")), rows, *key)
+        .groupBy(*key)
+        .agg(F.collect_list(F.struct((F.col("period") - F.col("_span") * _SPAN).cast("byte").alias("at"), "count")).alias("_c"))
+        .select(*key, F.col("_c.at").alias("_at"), F.col("_c.count").alias("_count"))
+    )
+    chance, count, period = F.col("_chance"), F.col("_count"), counts.schema["period"].dataType
+
+    def draws(at: Column) -> Column:
+        return uniform(seed, "_parent", "dimensions", "name", (F.col("_span") * _SPAN + at).cast(period))
+
+    # drawn span by span, so that what is summed up is already where it belongs
     uncertain = (chance > 0) & (chance < 1)
-    share = binomial(
-        F.when(uncertain, count).otherwise(F.lit(0)),
-        F.coalesce(chance, F.lit(0.0)),
-        seed,
-        "_parent",
-        "dimensions",
-        "name",
-        "period",
+    share = binomials(
+        F.when(uncertain, F.transform("_at", draws)).otherwise(F.array().cast("array<double>")),
+        F.when(uncertain, count).otherwise(F.array().cast("array<bigint>")),
+        chance,
     )
     delta = (
-        F.when(chance.isNull() | (chance >= 1), count).when(chance < 0, -count).otherwise(F.col("_share"))
+        F.when(chance.isNull() | (chance >= 1), count)
+        .when(chance < 0, F.transform(count, lambda c: -c))
+        .when(uncertain, F.col("_share"))
+        .otherwise(F.transform(count, lambda c: F.lit(0).cast("bigint")))
+    )
+    linked = (
+        spans.join(spread(links, rows, *key), key)
+        .withColumn("_share", share)
+        .select(F.col("_parent").alias("name"), "dimensions", "_span", chance.isNull().alias("_own"), "_at", delta.alias("_delta"))
     )
     return (
-        linked.withColumn("_share", share)
-        .groupBy(F.col("_parent").alias("name"), "dimensions", "period")
-        .agg(F.greatest(F.sum(delta), F.lit(0)).alias("count"), F.bool_or(chance.isNull()).alias("_own"))
+        spread(linked, rows, "name", "dimensions", "_span")
+        .select("name", "dimensions", "_span", "_own", F.explode(F.arrays_zip("_at", "_delta")).alias("_d"))
+        .groupBy("name", "dimensions", "_span", "_d._at")
+        .agg(F.greatest(F.sum("_d._delta"), F.lit(0)).alias("count"), F.bool_or("_own").alias("_own"))
         .where("_own")
-        .drop("_own")
+        .select("name", "dimensions", (F.col("_span") * _SPAN + F.col("_at")).cast(period).alias("period"), "count")
     )
 
 

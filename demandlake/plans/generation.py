@@ -32,7 +32,7 @@ def generate(
     drawn = g.draw_counts(expected_series(complete, start, length, output), seed)
     if dependencies is not None:
         drawn = g.apply_dependencies(
-            drawn, complete, g.fill_dimensions(dependencies, dimensions), length, seed
+            drawn, complete, g.fill_dimensions(dependencies, dimensions), length, seed, complete.count() * length
         ).withColumn("timestamp", add_periods(F.lit(start).cast("timestamp"), output, F.col("period")))
     return g.series_rows(drawn, dimensions)
 

@@ -11,6 +11,7 @@ from demandlake.functions.sampling import (
     _log_factorial,
     binomial,
     binomial_quantiles,
+    binomials,
     normal,
     poisson,
     poisson_quantiles,
@@ -263,6 +264,29 @@ def test_missing_periods_of_the_other_series_have_no_effect(spark):
     assert settled(spark, counts, ("a", HERE, "b", 1.0))["a", HERE] == [2, 1, 1]
 
 
+def test_draws_of_a_span_are_those_of_its_rows(spark):
+    df = spark.range(300).select(
+        "id", F.when(F.col("id") % 3 > 0, F.sequence(F.lit(1), (F.col("id") % 7).cast("int") + 1)).otherwise(F.array().cast("array<int>")).alias("at")
+    )
+    u = F.transform("at", lambda at: uniform(42, "id", at))
+    trials = F.transform("at", lambda at: F.when((F.col("id") != 1) | (at != 2), at.cast("bigint") * 10))
+    spans = df.select("id", F.posexplode_outer(binomials(u, trials, F.lit(0.3))).alias("at", "n"))
+    single = df.select("id", F.posexplode_outer("at").alias("at", "p")).select(
+        "id", "at", binomial(F.when((F.col("id") != 1) | (F.col("p") != 2), F.col("p") * 10), F.lit(0.3), 42, "id", "p").alias("n")
+    )
+    assert rows(spans, "id", "at") == rows(single, "id", "at")
+
+
+def test_more_counts_are_dealt_to_more_tasks(spark, monkeypatch):
+    """A task has the same number of rows whatever the input has."""
+    monkeypatch.setattr(g, "_TASK_ROWS", 100, raising=False)
+    spec = models(spark, *[model(f"s{i}", 20.0) for i in range(40)])
+    links = dependencies(spark, *[(f"s{i}", {}, f"s{i + 1}", 0.5) for i in range(39)])
+    few, many = (generate(spec, links, ["store"], START, length, "D") for length in (20, 100))
+    assert few.count() == 800 and many.count() == 4000
+    assert (few.rdd.getNumPartitions(), many.rdd.getNumPartitions()) == (8, 40)
+
+
 # -- checks and output ------------------------------------------------------------------------
 
 
