@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlake.functions.calendar import bucket_start, periods_between
@@ -28,7 +28,7 @@ def _factors(values: list[float]):
     return F.array(*[F.lit(float(v)) for v in values])
 
 
-def models(spark, sf) -> DataFrame:
+def models(spark, sf, *more: str) -> DataFrame:
     """A series per part; small parts have a store, cheap ones a segment, most neither or both."""
     entries = F.array_compact(
         F.array(
@@ -55,6 +55,7 @@ def models(spark, sf) -> DataFrame:
         _factors(HOURLY).alias("hourly"),
         _factors(DAILY).alias("daily"),
         _factors(MONTHLY).alias("monthly"),
+        *more,
     )
 
 
@@ -146,11 +147,32 @@ def fill_dimensions(spark, sf):
 # -- dependencies ---------------------------------------------------------------------------
 
 
-def _next_lines(spark, sf) -> DataFrame:
-    """Parts on one order line and the next of the same order; the first is influenced by the second."""
-    line = t.table(spark, sf, "lineitem")
-    after = line.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("l_partkey").alias("dependency"))
-    return line.join(after, ["l_orderkey", "l_linenumber"])
+# Lines of an order meet in blocks of 2 to the power of this many line numbers.
+_BLOCK_BITS = 6
+
+
+def _next_lines(line: DataFrame, rows: int, *alike: str) -> DataFrame:
+    """Parts on one order line and the next of the same order; the first is influenced by the second.
+
+    Takes about ``rows`` lines, and pairs only those with the same values in the columns ``alike``. They are shuffled
+    once: a line is in its own block and, if it is the first of that, in the one before.
+    """
+    own, before = (F.shiftright(F.col("l_linenumber") - back, _BLOCK_BITS) for back in (0, 1))
+    blocks = F.when(own == before, F.array(own)).otherwise(F.array(own, before))
+    placed = line.where(F.col("l_orderkey").isNotNull() & F.col("l_linenumber").isNotNull()).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_discount", *alike, F.explode(blocks).alias("_block")
+    )
+    after = F.struct(F.col("l_partkey").alias("dependency"), *alike)
+    follow = Window.partitionBy("l_orderkey", "_block").orderBy("l_linenumber").rangeBetween(1, 1)
+    pairs = (
+        g.spread(placed, rows, "l_orderkey", "_block")
+        .withColumn("_next", F.collect_list(after).over(follow))
+        .where(own == F.col("_block"))
+        .select("l_partkey", "l_returnflag", "l_discount", *alike, F.explode("_next").alias("_next"))
+    )
+    for column in alike:
+        pairs = pairs.where(F.col(column) == F.col(f"_next.{column}"))
+    return pairs.select("l_partkey", "l_returnflag", "l_discount", *alike, "_next.dependency")
 
 
 @query(
@@ -177,6 +199,7 @@ def dependency_effect(spark, sf):
         return F.struct(flag.alias("location"))
 
     line = t.table(spark, sf, "lineitem")
+    rows = line.count()
 
     def month_number(day):
         month = bucket_start(day.cast("timestamp"), "M")
@@ -195,40 +218,40 @@ def dependency_effect(spark, sf):
         F.col("l_partkey").cast("string").alias("name"), "l_returnflag"
     ).distinct().select("name", dims(F.col("l_returnflag")).alias("dimensions"))
     links = (
-        _next_lines(spark, sf)
-        .groupBy(
+        _next_lines(line, rows)
+        .groupBy("l_partkey", "l_returnflag", "dependency")
+        .agg(F.min(F.when(F.col("l_discount") >= 0.05, 1.0).otherwise(-1.0)).alias("chance"))
+        .select(
             F.col("l_partkey").cast("string").alias("name"),
-            "l_returnflag",
+            dims(F.col("l_returnflag")).alias("dimensions"),
             F.col("dependency").cast("string").alias("dependency"),
+            "chance",
         )
-        .agg(F.min(F.when(F.col("l_discount") >= 0.05, 1.0).otherwise(-1.0)).alias("chance"))
-        .withColumn("dimensions", dims(F.col("l_returnflag")))
     )
     last = line.select(F.max("l_shipdate").alias("last")).select(
         F.months_between(F.date_trunc("month", "last"), F.lit("1995-01-01").cast("timestamp")).cast("int") + 1
     )
-    return g.apply_dependencies(counts, series, links, last.scalar(), SEED).select(
+    # a pair of lines links a part to all counts of another, which are several
+    return g.apply_dependencies(counts, series, links, last.scalar(), SEED, rows * 4).select(
         "name", F.col("dimensions")["location"].alias("location"), "period", "count"
     )
 
 
 def _part_links(spark, sf) -> DataFrame:
     """Dependencies between parts of equal dimensions that follow each other on orders."""
-    complete = g.fill_dimensions(models(spark, sf), ["store", "segment"]).select(
-        "name", "dimensions"
-    )
+    complete = g.fill_dimensions(models(spark, sf, "p_partkey"), ["store", "segment"]).select("p_partkey", "dimensions")
+    line = t.table(spark, sf, "lineitem")
+    own = line.join(complete, line["l_partkey"] == complete["p_partkey"])
 
     def part(column):
         return F.concat(F.lit("part "), F.col(column).cast("string"))
 
-    pairs = (
-        _next_lines(spark, sf)
-        .select(part("l_partkey").alias("name"), part("dependency").alias("dependency"), "l_discount")
-        .groupBy("name", "dependency")
+    return (
+        _next_lines(own, line.count(), "dimensions")
+        .groupBy("l_partkey", "dimensions", "dependency")
         .agg((F.max("l_discount") * 5).alias("chance"))
+        .select(part("l_partkey").alias("name"), "dimensions", part("dependency").alias("dependency"), "chance")
     )
-    other = complete.withColumnRenamed("name", "dependency")
-    return pairs.join(complete, "name").join(other, ["dependency", "dimensions"])
 
 
 @query("synthetic_series")
@@ -252,7 +275,8 @@ def unmatched_dependencies(spark, sf):
         F.col("p_partkey").cast("string").alias("name"),
         F.struct(F.col("p_type").alias("category")).alias("dimensions"),
     )
-    pairs = _next_lines(spark, sf).select(
+    line = t.table(spark, sf, "lineitem")
+    pairs = _next_lines(line, line.count()).select(
         F.col("l_partkey").cast("string").alias("name"), F.col("dependency").cast("string").alias("dependency")
     ).distinct()
     return g.unmatched_dependencies(series, pairs.join(series, "name")).select("name", "dependency", "matches")

@@ -195,3 +195,31 @@ def test_columns_without_values_are_neither_shuffled_nor_sorted(spark, sf):
     found = nodes(laid_out._jdf.queryExecution().optimizedPlan())
     widths = [n.output().size() for n in found if n.nodeName() in ("Sort", "RebalancePartitions")]
     assert len(widths) == 2 and max(widths) < 20
+
+
+def test_lines_of_orders_are_shuffled_once(spark, sf):
+    """Not once as lines and once as the lines after them, and neither side is broadcast."""
+    for name in ("dependency_effect", "synthetic_series", "unmatched_dependencies"):
+        plan = plan_of(entry.queries()[name](spark, sf))
+        assert len(re.findall(r"hashpartitioning\(l_orderkey", plan)) == 1
+        assert not re.search(r"Join \[l_orderkey", plan)
+
+
+def test_effects_are_shuffled_by_span(spark, sf):
+    """A row per link and span, not one per link and period."""
+    for name in ("dependency_effect", "synthetic_series"):
+        found = re.findall(r"hashpartitioning\((name#\w+, dimensions#\w+.*?), \d+\)", plan_of(entry.queries()[name](spark, sf)))
+        assert len(found) == 3 and all("_span" in keys and "period" not in keys for keys in found)
+
+
+def test_next_lines_are_those_of_the_number_after(spark):
+    from demandlake.plans.generator_queries import _next_lines
+
+    numbers = [1, 2, 3, 5, 6, 6, 7, 62, 63, 64, 65, 127, 128, 130, 192, None]
+    lines = [(order, n, 100 * order + i, "A", 0.5, i % 2) for order in (1, 2) for i, n in enumerate(numbers)] + [(None, 1, 7, "A", 0.5, 0), (None, 2, 8, "A", 0.5, 0)]
+    line = spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_returnflag string, l_discount double, kind int")
+    pairs = [(a, b) for a in lines for b in lines if a[0] == b[0] is not None and None not in (a[1], b[1]) and a[1] + 1 == b[1]]
+    for alike in ([], ["kind"]):
+        expected = sorted((a[2], b[2]) for a, b in pairs if not alike or a[5] == b[5])
+        found = _next_lines(line, len(lines), *alike).select("l_partkey", "dependency").collect()
+        assert sorted(map(tuple, found)) == expected and expected
